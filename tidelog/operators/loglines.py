@@ -68,7 +68,11 @@ def instant_nanos(stamp: Column) -> Column:
     fraction = F.rpad(F.concat(part(3), part(4)), 9, "0").cast("long")
     zone = F.regexp_replace(part(5), ":", "")
     off = F.when(F.length(zone) == 5, (F.substring(zone, 2, 2).cast("int") * 3600 + F.substring(zone, 4, 2).cast("int") * 60) * F.when(F.substring(zone, 1, 1) == "-", -1).otherwise(1)).otherwise(0)
-    return F.when(part(1) != "", (seconds - off) * 1_000_000_000 + fraction)
+    # a bare number counts seconds, or as many thousandths, millionths or billionths as its length tells
+    digits, more = (F.regexp_extract(stamp, r"^(\d{9,19})(?:\.(\d{1,9}))?$", i) for i in (1, 2))
+    scale = F.when(F.length(digits) <= 11, 9).when(F.length(digits) <= 14, 6).when(F.length(digits) <= 17, 3).otherwise(0)
+    epoch = F.concat(digits, F.substring(F.rpad(more, 9, "0"), F.lit(1), scale)).try_cast("long")
+    return F.when(part(1) != "", (seconds - off) * 1_000_000_000 + fraction).when(digits != "", epoch)
 
 
 def _first(text: Column, pattern: str, group: int = 1) -> Column:

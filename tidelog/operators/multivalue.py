@@ -50,35 +50,34 @@ class Segmenter:
         """For each position the pieces that may begin there: their ends and kinds."""
         n = len(text)
         out: list[list[tuple[int, str]]] = [[] for _ in range(n)]
-        if self.automaton is not None:
-            for end, k in self.automaton.iter(text):
-                i, j = end - len(k) + 1, end + 1
-                # whole: bare neighbours would make it part of a longer value, a doubled quote part of a longer quotation
-                if k[0] in "\"'":
-                    whole = (m := _QUOTED.match(text, i)) is not None and m.end() == j
-                else:
-                    whole = (i == 0 or not _plain(text, i - 1)) and (j == n or not _plain(text, j))
-                if whole:
-                    out[i].append((j, "known"))
+        quoted = {}
         i = 0
         while i < n:
             c = text[i]
             if c in "\"'" and (m := _QUOTED.match(text, i)):
+                quoted[i] = m.end()  # what a quotation holds begins nothing
                 out[i].append((m.end(), "quoted"))
-            if c.isspace():
+                i = m.end()
+            elif c.isspace():
                 j = _BLANK.match(text, i).end()
                 out[i].append((j, "blank"))
                 i = j
-                continue
-            if _plain(text, i):
+            elif _plain(text, i):
                 j = i
                 while j < n and _plain(text, j):
                     j += 1
                 out[i].append((j, "bare"))
                 i = j
-                continue
-            out[i].append((i + 2 if text.startswith("||", i) else i + 1, "stray" if c in "\"'" else "sep"))
-            i += 1
+            else:
+                j = i + 2 if text.startswith("||", i) else i + 1
+                out[i].append((j, "stray" if c in "\"'" else "sep"))
+                i = j
+        if self.automaton is not None:
+            for end, k in self.automaton.iter(text):
+                i, j = end - len(k) + 1, end + 1
+                # whole: the quotation found there, or a run that bare neighbours don't make longer
+                if quoted.get(i) == j or out[i] and out[i][0] == (j, "bare"):
+                    out[i].append((j, "known"))
         return out
 
     def cover(self, text: str) -> list[tuple[int, int, str]]:
@@ -88,8 +87,7 @@ class Segmenter:
         take: list[tuple[int, str] | None] = [None] * n
         for i in range(n - 1, -1, -1):
             for j, kind in pieces[i]:
-                # a quotation is one value whatever it costs to take it apart
-                c = (-n if kind in ("known", "quoted") and text[i] in "\"'" else _COSTS[kind]) + cost[j]
+                c = _COSTS[kind] + cost[j]
                 if c < cost[i] or (c == cost[i] and take[i] and j > take[i][0]):
                     cost[i], take[i] = c, (j, kind)
         out, i = [], 0
