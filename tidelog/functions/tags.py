@@ -1,4 +1,4 @@
-"""Tag/value messages into ordered pairs, and pairs into typed columns; native expressions, one row at a time.
+"""Tag/value messages into ordered pairs, and pairs into typed columns, one row at a time. Wire messages are read by native expressions.
 
 A message is an array of ``struct<key, value>`` in wire order, repeats kept (a repeating group is tags repeating). Null means
 that there is no line, empty that it holds no pair.
@@ -6,8 +6,12 @@ that there is no line, empty that it holds no pair.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions import values as V
 
@@ -71,63 +75,79 @@ def _pair(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
 
-def _named(token: Column, entry: Column) -> Column:
-    """The pairs of one token of a rendered message: one, or the members of a group entry."""
-    part = lambda i: F.regexp_extract(token, _TOKEN, i)
-    key, index, member, rest = (part(i) for i in (1, 2, 3, 4))
-    indexed = index != ""
-    inner = F.regexp_extract(rest, _MEMBER, 1)
-    takes = indexed & (member == "") & (inner != "")
-    value = F.when(takes, F.regexp_extract(rest, _MEMBER, 2)).otherwise(rest)
-    member = F.when(takes, inner).otherwise(member)
-    lead = F.concat(key, F.when(indexed, F.concat(F.lit("["), index, F.lit("]"))).otherwise(""))
-    full = F.concat(lead, F.when(member != "", F.concat(F.lit("."), member)).otherwise(""))
-    chunks = F.split(value, F.concat(F.lit("\\Q"), entry, F.lit("\\E")), F.lit(-1))
-    more = F.transform(
-        F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0))),
-        lambda c: _pair(
-            F.when(c.rlike(_MEMBER), F.concat(lead, F.lit("."), F.regexp_extract(c, _MEMBER, 1))).otherwise(lead),
-            _trim(F.when(c.rlike(_MEMBER), F.regexp_extract(c, _MEMBER, 2)).otherwise(c)),
-        ),
-    )
-    expanded = F.concat(F.array(_pair(full, _trim(F.get(chunks, F.lit(0))))), more)
-    return F.when(indexed & entry.isNotNull(), expanded).otherwise(F.array(_pair(full, _trim(value))))
-
-
-def tokens(message: Column, named: bool = False) -> Column:
+def tokens(message: Column) -> Column:
+    """The ``tag=value`` tokens of a wire message; the log's own ``key=value`` noise is none."""
     sep = separator(message)
-    split = F.split(begun(message, named), F.concat(F.lit("\\Q"), sep, F.lit("\\E")), F.lit(-1))
-    shape = rf"(?s)^{WS}*#?(?:\d+|{NAME})(?:\[\d+\])?(?:\.[A-Za-z0-9_.\-]+)?{WS}*=" if named else rf"(?s)^{WS}*\d+{WS}*="
+    split = F.split(begun(message, False), F.concat(F.lit("\\Q"), sep, F.lit("\\E")), F.lit(-1))
+    shape = rf"(?s)^{WS}*\d+{WS}*="
     return F.filter(split, lambda t: t.rlike(shape))
 
 
-def entry_separator(kept: Column) -> Column:
-    """The first known separator inside an indexed token, null if there is none."""
-    return _first_of(F.array_join(F.filter(kept, lambda t: t.rlike(_INDEXED)), " "))
-
-
 def until_checksum(pairs: Column) -> Column:
     """The pairs up to the first tag 10, itself included."""
     at = F.array_position(F.transform(pairs, lambda p: p["key"]), "10")
     return F.when(at > 0, F.slice(pairs, F.lit(1), at.cast("int"))).otherwise(pairs)
 
 
-def pairs_of(kept: Column, named: bool = False) -> Column:
-    """Kept tokens as pairs. Give the tokens as a column of their own, for they are read several times."""
-    if named:
-        entry = entry_separator(kept)
-        found = F.flatten(F.transform(kept, lambda t: _named(t, entry)))
+_TOKEN_RE, _MEMBER_RE, _INDEXED_RE = (re.compile(x.replace(r"\z", r"\Z"), re.ASCII) for x in (_TOKEN, _MEMBER, _INDEXED))
+_BRIDGE_RE, _NEXT_RE = re.compile(rf"(?s)({BRIDGE_TOKEN})(?=.*{BRIDGE_TOKEN})", re.ASCII), re.compile(BRIDGE_TOKEN, re.ASCII)
+_WIRE_RE = re.compile(rf"(?:^|[^0-9])(8=FIXT?{_VALUE})(\^A|[^\s])?", re.ASCII)
+
+
+def rendered(message: str) -> list[tuple[str, str]]:
+    """The pairs of one rendered message: ``#SIDE=1``, ``Side=1``, ``54=1``, ``G[i]=M=v``, ``G[i].M=v``, and group entries with a separator of their own."""
+    start = _WIRE_RE.search(message)
+    bridge = None if start else _BRIDGE_RE.search(message)
+    if start and start[2]:
+        sep = start[2]
+    elif bridge and (second := _NEXT_RE.search(message, bridge.end())):
+        before = message[: second.start()]
+        sep = next((x for x in ("^A", *SEPARATORS) if before.endswith(x)), "#")
     else:
-        found = F.transform(kept, lambda t: _pair(_trim(F.substring_index(t, "=", 1)), _trim(F.regexp_replace(t, r"(?s)\A[^=]*=", ""))))
-    return until_checksum(found)
+        sep = next((x for x in SEPARATORS if x in message), "\x01")
+    body = message[start.start(1) :] if start else message[bridge.start() :] if bridge else message
+    kept = [t for t in body.split(sep) if _TOKEN_RE.match(t)]
+    indexed = " ".join(t for t in kept if _INDEXED_RE.match(t))
+    entry = next((x for x in SEPARATORS if x in indexed), None)
+    out: list[tuple[str, str]] = []
+    for t in kept:
+        key, index, member, rest = _TOKEN_RE.match(t).groups()
+        lead = key if index is None else f"{key}[{index}]"
+        if index is not None and member is None and (inner := _MEMBER_RE.match(rest)):
+            member, rest = inner[1], inner[2]
+        full = f"{lead}.{member}" if member else lead
+        if index is None or entry is None:
+            out.append((full, rest.strip()))
+        else:
+            head, *more = rest.split(entry)
+            out.append((full, head.strip()))
+            for chunk in more:
+                inner = _MEMBER_RE.match(chunk)
+                out.append((f"{lead}.{inner[1]}", inner[2].strip()) if inner else (lead, chunk.strip()))
+    end = next((i for i, (k, _) in enumerate(out) if k == "10"), len(out))
+    return out[: end + 1]
+
+
+_PAIRS_ARROW = pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
+_TAGS_ARROW = pa.list_(pa.struct([("tag", pa.int32()), ("value", pa.string())]))
+PAIR_TYPE = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]))
+TAG_TYPE = T.ArrayType(T.StructType([T.StructField("tag", T.IntegerType()), T.StructField("value", T.StringType())]))
+
+
+@F.arrow_udf(PAIR_TYPE)
+def _rendered_pairs(messages: pa.Array) -> pa.Array:
+    return pa.array([None if m is None else [{"key": k, "value": v} for k, v in rendered(m)] for m in messages.to_pylist()], _PAIRS_ARROW)
 
 
 def parse(df, message: str = "message", out: str = "pairs", named: bool | Column = False):
-    """``df`` with the pairs of its messages. ``named`` is one for all, or a column: rendered names are admitted where it is true."""
-    if isinstance(named, bool):
-        return df.withColumn("_tokens", tokens(F.col(message), named)).withColumn(out, pairs_of(F.col("_tokens"), named)).drop("_tokens")
-    df = df.withColumn("_named", named).withColumn("_tokens", F.when(F.col("_named"), tokens(F.col(message), True)).otherwise(tokens(F.col(message), False)))
-    return df.withColumn(out, F.when(F.col("_named"), pairs_of(F.col("_tokens"), True)).otherwise(pairs_of(F.col("_tokens"), False))).drop("_tokens", "_named")
+    """``df`` with the pairs of its messages. ``named`` is one for all, or a column: rendered names are admitted where it is true. Wire
+    messages, the most, are cut by native expressions; rendered ones, whose grammar nests, by an Arrow function."""
+    split = F.transform(tokens(F.when(~named, F.col(message)) if isinstance(named, Column) else F.col(message)), lambda t: _pair(_trim(F.substring_index(t, "=", 1)), _trim(F.regexp_replace(t, r"(?s)\A[^=]*=", ""))))
+    if named is False:
+        return df.withColumn(out, split).withColumn(out, until_checksum(F.col(out)))
+    said = F.when(named, F.col(message)) if isinstance(named, Column) else F.col(message)
+    df = df.withColumn("_rendered", _rendered_pairs(said))
+    return df.withColumn(out, split).withColumn(out, F.coalesce("_rendered", until_checksum(F.col(out)))).drop("_rendered")
 
 
 def drop_null_values(pairs: Column) -> Column:
@@ -142,33 +162,62 @@ def tag_of(key: Column) -> Column:
     return F.coalesce(F.when(last.rlike(r"^\d{1,9}\z"), last.try_cast("int")), by_name)
 
 
-def resolved(pairs: Column) -> Column:
-    """The pairs with the tag of each key (or null)."""
-    return F.transform(pairs, lambda p: F.struct(tag_of(p["key"]).alias("tag"), p["key"].alias("key"), p["value"].alias("value")))
-
-
-def known(tagged: Column) -> Column:
-    return F.transform(F.filter(tagged, lambda p: p["tag"].isNotNull()), lambda p: F.struct(p["tag"].alias("tag"), p["value"].alias("value")))
-
-
-def unknown(tagged: Column) -> Column:
-    """Keys without a tag, without their indexes."""
-    return F.transform(F.filter(tagged, lambda p: p["tag"].isNull()), lambda p: _pair(F.regexp_replace(p["key"], r"\[\d+\]", ""), p["value"]))
+def _tag(key: str) -> int | None:
+    last = re.sub(r"(?s)\A.*[.\]]", "", re.sub(r"\[\d+\]\Z", "", key.removeprefix("#")))
+    return int(last) if re.fullmatch(r"[0-9]{1,9}", last) else TAG_OF.get(last.lower())
+
+
+#: What a message's pairs are made of: known tags, other keys, and the values of lifted tags that occur once, which are no longer among the tags.
+TRANSCRIBED = T.StructType([T.StructField("fix_tags", TAG_TYPE), T.StructField("keyval", PAIR_TYPE), T.StructField("flat", T.MapType(T.IntegerType(), T.StringType()))])
+_LIFTED_TAGS = frozenset(t for t, _, _ in LIFTED)
+
+
+@F.arrow_udf(TRANSCRIBED)
+def transcribed(pairs: pa.Array) -> pa.Array:
+    """Pairs by their keys, in wire order; pairs without a value are dropped."""
+    known: dict[str, int | None] = {}
+    fix, other, flat = [], [], []
+    for row in pairs.to_pylist():
+        if row is None:
+            fix.append(None), other.append(None), flat.append(None)
+            continue
+        tags, keys, count = [], [], {}
+        for p in row:
+            k, v = p["key"], p["value"]
+            if v is None or v.strip().lower() in V.NULL_WORDS:
+                continue
+            if k not in known and len(known) < 100_000:
+                known[k] = _tag(k)
+            tag = known[k] if k in known else _tag(k)
+            if tag is None:
+                keys.append({"key": re.sub(r"\[\d+\]", "", k), "value": v})
+            else:
+                tags.append((tag, v))
+                count[tag] = count.get(tag, 0) + 1
+        once = {t for t, n in count.items() if n == 1 and t in _LIFTED_TAGS}
+        flat.append([(t, v) for t, v in tags if t in once])
+        fix.append([{"tag": t, "value": v} for t, v in tags if t not in once])
+        other.append(keys)
+    return pa.StructArray.from_arrays([pa.array(fix, _TAGS_ARROW), pa.array(other, _PAIRS_ARROW), pa.array(flat, pa.map_(pa.int32(), pa.string()))], ["fix_tags", "keyval", "flat"])
+
+
+@F.arrow_udf(PAIR_TYPE)
+def from_pairs(pairs: pa.Array) -> pa.Array:
+    """Pairs with names as pairs with tags; what names no tag keeps its name, what has no value goes."""
+    out = []
+    for row in pairs.to_pylist():
+        out.append(None if row is None else [{"key": str(t) if (t := _tag(re.sub(r"[ _-]+", "", p["key"]))) is not None and "[" not in p["key"] else p["key"], "value": p["value"]} for p in row if p["value"] is not None])
+    return pa.array(out, _PAIRS_ARROW)
 
 
 _KINDS = {"S": lambda t: t, "L": V.integer, "D": V.number, "B": V.bool_words, "X": lambda t: t.cast("binary"), "N": V.nanos}
 
 
-def lift(df, tags: str = "fix_tags", lifted=LIFTED):
-    """``df`` with a typed column for each lifted tag that occurs exactly once in the row, which goes out of ``tags``."""
-    wanted = F.array(*[F.lit(t) for t, _, _ in lifted])
-    all_tags = F.transform(tags, lambda p: p["tag"])
-    once = F.filter(F.array_intersect(F.array_distinct(all_tags), wanted), lambda t: F.size(F.filter(F.col("_all"), lambda x: x == t)) == 1)
-    df = df.withColumn("_all", all_tags).withColumn("_once", once)
-    flat = F.map_from_entries(F.transform(F.filter(tags, lambda p: F.array_contains(F.col("_once"), p["tag"])), lambda p: F.struct(p["tag"], p["value"])))
-    df = df.withColumn("_flat", flat)
-    df = df.withColumns({name: _KINDS[kind](F.try_element_at("_flat", F.lit(tag))) for tag, name, kind in lifted})
-    return df.withColumn(tags, F.filter(tags, lambda p: ~F.array_contains(F.col("_once"), p["tag"]))).drop("_all", "_once", "_flat")
+def lift(df, pairs: str = "pairs"):
+    """``df`` with ``fix_tags``, ``keyval`` and a typed column for each lifted tag, which is null unless the tag occurs exactly once."""
+    df = df.withColumn("_t", transcribed(F.col(pairs))).withColumn("_flat", F.col("_t.flat"))
+    lifted = {name: _KINDS[kind](F.try_element_at("_flat", F.lit(tag))) for tag, name, kind in LIFTED}
+    return df.withColumns({"fix_tags": F.col("_t.fix_tags"), "keyval": F.col("_t.keyval"), **lifted}).drop("_t", "_flat")
 
 
 def value_of(pairs: Column, tag: int, names: tuple[str, ...] = ()) -> Column:
@@ -184,8 +233,7 @@ def all_values(pairs: Column, tag: int, names: tuple[str, ...] = ()) -> Column:
 
 def by_tag(pairs: Column) -> Column:
     """A map of the first value of each key."""
-    keys = F.transform(pairs, lambda p: p["key"])
-    return F.map_from_entries(F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1))
+    return F.aggregate(pairs, F.expr("cast(map() as map<string,string>)"), lambda m, p: F.when(F.map_contains_key(m, p["key"]), m).otherwise(F.map_concat(m, F.create_map(p["key"], p["value"]))))
 
 
 def group(pairs: Column, count_tag: int, members: tuple[int, ...] = ()) -> Column:
@@ -224,12 +272,6 @@ def to_text(pairs: Column, sep: str = "\x01") -> Column:
     return F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), F.coalesce(p["value"], F.lit("")))), sep)
 
 
-def from_pairs(pairs: Column) -> Column:
-    """Pairs with names as pairs with tags; what names no tag keeps its name, what has no value goes."""
-    folded = lambda k: F.regexp_replace(k, r"[ _-]+", "")
-    return F.transform(F.filter(pairs, lambda p: p["value"].isNotNull()), lambda p: _pair(F.coalesce(tag_of(folded(p["key"])).cast("string"), p["key"]), p["value"]))
-
-
 def version(begin_string: Column, default: str | None = None) -> Column:
     """``FIX.4.2`` and ``4.2`` as ``4.2``, ``FIXT.1.1`` as ``FIXT1.1``."""
     bare = F.regexp_extract(F.upper(F.trim(begin_string)), r"^(?:8=)?(?:FIX\.?)?(T?\.?\d+(?:\.\d+)*(?:SP\d+)?)\z", 1)

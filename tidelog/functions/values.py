@@ -91,6 +91,11 @@ def hour_of(unix: Column) -> Column:
     return unix - F.pmod(unix, F.lit(HOUR))
 
 
+def micros(unix: Column) -> Column:
+    """Whole microseconds; a quotient by doubles would not be exact."""
+    return ((unix - F.pmod(unix, F.lit(1000))).cast("decimal(20,0)") / 1000).cast("long")
+
+
 def notional(px: Column, qty: Column, multiplier: Column, asset: Column) -> Column:
     """Price by quantity by multiplier, which is 1 for cash instruments that have none; null if one is missing."""
     cash = (asset >= 100) & (asset < 200)
@@ -134,6 +139,6 @@ def rendered(value: Column, kind: str) -> Column:
     if kind in ("double", "float"):
         return F.regexp_replace(F.regexp_replace(value.cast("decimal(38,12)").cast("string"), r"(\.\d*?)0+\z", "$1"), r"\.\z", "")
     if kind == "nanos":
-        at = F.timestamp_micros(F.floor(value / 1000).cast("long"))
+        at = F.timestamp_micros(micros(value))
         return F.date_format(at, "yyyyMMdd-HH:mm:ss.SSSSSS")
     return value.cast("string")

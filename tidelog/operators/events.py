@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidelog.functions import codes, tags
+from tidelog.functions import codes
+from tidelog.functions.tags import TAG_OF
 from tidelog.functions import values as V
 
 # fixed values: message types by what they give, and members of a market-data entry
@@ -13,10 +18,7 @@ ORDERS = ("D", "F", "G", "9")
 REPORT, TRADE_REPORT = "8", "AE"
 MARKET_DATA = ("W", "X")
 ENTRY = (269, 270, 271, 272, 273, 278, 279, 346, 276, 277, 55, 48, 22, 15, 207)
-FRAMING = ("9", "10")
-# fixed values: where the instant of an event comes from, best first
-TRANSACTED = ("60", "42", "122", "52")
-
+TRADED = ("F", "1", "2", "G", "H")
 _CLAIMED = ("8 9 10 34 35 49 56 52 122 42 43 60 126 432 55 48 22 167 461 207 100 15 231 969 561 541 200 202 201 107 454 455 456 555 54 44 38 40 59 99 111 14 151 6 37 11 41 103 102 58 31 32 150 17 1003 880 1057 378 39 268 269 270 271 272 273 278 279 346 30").split()
 
 
@@ -48,24 +50,23 @@ def instrument(m: Column) -> Column:
     )
 
 
-def _shared(m: Column, venue: str | None) -> list[Column]:
-    at = instant(m)
-    extras = F.map_filter(m, lambda k, v: ~k.isin(*_CLAIMED))
-    return [
-        at.alias("unix"), V.hour_of(at).alias("unix_hour"), V.expires(_of(m, 126), _of(m, 432)).alias("eunix"), V.integer(_of(m, 34)).alias("seq"), F.coalesce(_of(m, 55), F.lit("")).alias("symbol"),
-        F.coalesce(F.lit(venue), _of(m, 30, 207, 49)).alias("venue"), F.coalesce(_of(m, 15), F.lit("")).alias("px_unit"), instrument(m).alias("instrument"), extras.alias("metadata"),
-    ]
+def _shared(m: Column, venue: str | None) -> dict[str, Column]:
+    """What all rows have; computed once, before anything is decided by role."""
+    return {
+        "eunix": V.expires(_of(m, 126), _of(m, 432)), "seq": V.integer(_of(m, 34)), "symbol": F.coalesce(_of(m, 55), F.lit("")), "venue": F.coalesce(F.lit(venue), _of(m, 30, 207, 49)),
+        "px_unit": F.coalesce(_of(m, 15), F.lit("")), "instrument": instrument(m), "metadata": F.map_filter(m, lambda k, v: ~k.isin(*_CLAIMED)),
+    }
 
 
 def _null(t: str) -> Column:
     return F.lit(None).cast(t)
 
 
-def _order(m: Column, venue: str | None) -> Column:
+def _order(m: Column) -> Column:
     state = F.when(message_type(m) == "D", int(codes.State.PENDING_NEW)).when(message_type(m) == "F", int(codes.State.PENDING_CANCEL)).when(message_type(m) == "G", int(codes.State.PENDING_REPLACE))
     state = F.coalesce(state, F.when(message_type(m) == "8", codes.of_wire(codes.State, _of(m, 39))), F.lit(0))
     return F.struct(
-        F.lit(int(codes.EventType.ORDER)).alias("etype"), *_shared(m, venue), state.alias("state"), codes.of_wire(codes.Side, _of(m, 54)).alias("side"), V.number(_of(m, 44)).alias("px"), V.number(_of(m, 38)).alias("qty"),
+        F.lit(int(codes.EventType.ORDER)).alias("etype"), state.alias("state"), codes.of_wire(codes.Side, _of(m, 54)).alias("side"), V.number(_of(m, 44)).alias("px"), V.number(_of(m, 38)).alias("qty"),
         codes.of_wire(codes.OrderKind, _of(m, 40)).alias("kind"), codes.of_wire(codes.TimeInForce, _of(m, 59)).alias("tif"), V.number(_of(m, 99)).alias("stop_px"), V.number(_of(m, 111)).alias("display_qty"),
         V.number(_of(m, 14)).alias("filled_qty"), V.number(_of(m, 151)).alias("leaves_qty"), V.number(_of(m, 6)).alias("avg_px"), _of(m, 37).alias("order_id"), _of(m, 11).alias("client_order_id"),
         _of(m, 41).alias("prev_client_order_id"), V.integer(_of(m, 103, 102)).cast("int").alias("reason_code"), _of(m, 58).alias("reason"),
@@ -73,18 +74,18 @@ def _order(m: Column, venue: str | None) -> Column:
     )
 
 
-def _execution(m: Column, venue: str | None) -> Column:
+def _execution(m: Column) -> Column:
     kind = codes.of_wire(codes.ExecKind, _of(m, 150))
     state = F.when(_of(m, 150).isin("F", "1", "2"), int(codes.State.FILLED)).when(_of(m, 150) == "G", int(codes.State.REPLACED)).when(_of(m, 150) == "H", int(codes.State.CANCELLED)).otherwise(codes.of_wire(codes.State, _of(m, 150)))
     return F.struct(
-        F.lit(int(codes.EventType.EXECUTION)).alias("etype"), *_shared(m, venue), state.alias("state"), codes.of_wire(codes.Side, _of(m, 54)).alias("side"), V.number(_of(m, 31)).alias("px"), V.number(_of(m, 32)).alias("qty"),
+        F.lit(int(codes.EventType.EXECUTION)).alias("etype"), state.alias("state"), codes.of_wire(codes.Side, _of(m, 54)).alias("side"), V.number(_of(m, 31)).alias("px"), V.number(_of(m, 32)).alias("qty"),
         kind.alias("kind"), F.lit(0).alias("tif"), _null("double").alias("stop_px"), _null("double").alias("display_qty"), V.number(_of(m, 14)).alias("filled_qty"), V.number(_of(m, 151)).alias("leaves_qty"),
         V.number(_of(m, 6)).alias("avg_px"), _of(m, 37).alias("order_id"), _of(m, 11).alias("client_order_id"), _null("string").alias("prev_client_order_id"), V.integer(_of(m, 378)).cast("int").alias("reason_code"), _of(m, 58).alias("reason"),
         _of(m, 17).alias("exec_id"), _of(m, 1003, 880).alias("trade_id"), V.flag(_of(m, 1057)).alias("aggressor"),
     )
 
 
-def _entry(m: Column, venue: str | None) -> Column:
+def _entry(m: Column) -> Column:
     """A market-data entry, its header beneath it: bids and offers are orders, trades executions."""
     kind = _of(m, 269)
     trade = kind == "2"
@@ -93,33 +94,85 @@ def _entry(m: Column, venue: str | None) -> Column:
     side = F.when(kind == "0", int(codes.Side.BUY)).when(kind == "1", int(codes.Side.SELL)).otherwise(0)
     level = F.concat(F.when(kind == "0", "BUY@").otherwise("SELL@"), _of(m, 270))
     return F.struct(
-        F.when(trade, int(codes.EventType.EXECUTION)).otherwise(int(codes.EventType.ORDER)).alias("etype"), *_shared(m, venue), state.alias("state"), side.alias("side"), V.number(_of(m, 270)).alias("px"), V.number(_of(m, 271)).alias("qty"),
+        F.when(trade, int(codes.EventType.EXECUTION)).otherwise(int(codes.EventType.ORDER)).alias("etype"), state.alias("state"), side.alias("side"), V.number(_of(m, 270)).alias("px"), V.number(_of(m, 271)).alias("qty"),
         F.when(trade, int(codes.ExecKind.TRADED)).otherwise(int(codes.OrderKind.LIMIT_ORDER)).alias("kind"), F.lit(0).alias("tif"), _null("double").alias("stop_px"), _null("double").alias("display_qty"), _null("double").alias("filled_qty"),
         _null("double").alias("leaves_qty"), _null("double").alias("avg_px"), F.when(~trade, F.coalesce(_of(m, 278), level)).alias("order_id"), _null("string").alias("client_order_id"), _null("string").alias("prev_client_order_id"),
         _null("int").alias("reason_code"), _of(m, 58).alias("reason"), F.when(trade, _of(m, 278)).alias("exec_id"), _null("string").alias("trade_id"), _null("boolean").alias("aggressor"),
     )
 
 
+_HEADED = ("55", "48", "22", "15", "207")
+_INDEXED = re.compile(r"#?NoMDEntries\[(\d+)\]\.?(.*)", re.I | re.S)
+
+
+def maps_of(pairs: list[tuple[str, str]]) -> list[dict[str, str]]:
+    """The first values of a message by key; of market data those of each entry, the header beneath them. The type is always there as 35."""
+    first: dict[str, str] = {}
+    for k, v in pairs:
+        first.setdefault(k, v)
+    kind = first.get("35") or ("X" if "268" in first else "8" if "17" in first or "150" in first else "D" if "11" in first else None)
+    if kind is None:
+        return []
+    first["35"] = kind
+    if kind not in MARKET_DATA:
+        return [first]
+    members = {str(t) for t in ENTRY}
+    entries: list[dict[str, str]] = []
+    at = next((i for i, (k, _) in enumerate(pairs) if k == "268"), None)
+    if at is not None and at + 1 < len(pairs):
+        opener = pairs[at + 1][0]
+        for k, v in pairs[at + 1 :]:
+            if k not in members:
+                break
+            if k == opener or not entries or k in entries[-1]:
+                entries.append({})
+            entries[-1][k] = v
+        n = first["268"]
+        entries = entries[: int(n)] if n.isdigit() else []
+    else:
+        by_index: dict[int, dict[str, str]] = {}
+        for k, v in pairs:
+            if m := _INDEXED.fullmatch(k):
+                tag = TAG_OF.get(m[2].lower())
+                by_index.setdefault(int(m[1]), {}).setdefault(str(tag) if tag else m[2], v)
+        entries = [by_index[i] for i in sorted(by_index)]
+    header = {k: v for k, v in first.items() if k not in members or k in _HEADED}
+    return [header | e for e in entries if e.get("269") in ("0", "1", "2")]
+
+
+def roles_of(pairs: list[tuple[str, str]]) -> list[tuple[int, str, dict[str, str]]]:
+    """Of each row that a message gives: its place, what it is, and the values it is made of."""
+    out = []
+    for i, m in enumerate(maps_of(pairs)):
+        kind = m["35"]
+        if kind in MARKET_DATA:
+            out.append((2 * i, "entry", m))
+        elif kind == TRADE_REPORT:
+            out.append((2 * i, "execution", m))
+        elif kind in ORDERS or kind == REPORT:
+            out.append((2 * i, "order", m))
+            if kind == REPORT and m.get("150") in TRADED:
+                out.append((2 * i + 1, "execution", m))
+    return out
+
+
+_MAP = T.MapType(T.StringType(), T.StringType())
+_ROLE = pa.list_(pa.struct([("pos", pa.int32()), ("role", pa.string()), ("m", pa.map_(pa.string(), pa.string()))]))
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("m", _MAP)])))
+def _roles(pairs: pa.Array) -> pa.Array:
+    out = [None if row is None else [{"pos": i, "role": r, "m": list(m.items())} for i, r, m in roles_of([(p["key"], p["value"]) for p in row])] for row in pairs.to_pylist()]
+    return pa.array(out, _ROLE)
+
+
 def events(df: DataFrame, pairs: str = "pairs", venue: str | None = None) -> DataFrame:
     """The event rows of messages: ``df`` without ``pairs``, then ``pos`` and the event's columns. Keys have to be tags (see
     :func:`tidelog.functions.tags.from_pairs`). Messages of other types, and null ones, give nothing."""
-    df = df.where(F.col(pairs).isNotNull()).withColumn("_m", tags.by_tag(F.col(pairs))).withColumn("_type", message_type(F.col("_m")))
-    entries = tags.group(F.col(pairs), 268, ENTRY)
-    indexed = tags.indexed_group(F.col(pairs), "NoMDEntries")
-    group = F.when(F.size(entries) > 0, entries).otherwise(F.transform(indexed, lambda e: tags.from_pairs(e)))
-    members = [str(t) for t in ENTRY]
-    headed = lambda e: F.map_concat(F.map_filter("_m", lambda k, v: ~k.isin(*members) & ~F.map_contains_key(tags.by_tag(e), k) | (k.isin("55", "48", "22", "15", "207") & ~F.map_contains_key(tags.by_tag(e), k))), tags.by_tag(e))
-    maps = F.when(F.col("_type").isin(*MARKET_DATA), F.filter(F.transform(group, headed), lambda m: _of(m, 269).isin("0", "1", "2"))).otherwise(F.array("_m"))
-    df = df.where(F.col("_type").isin(*ORDERS, REPORT, TRADE_REPORT, *MARKET_DATA)).withColumn("_maps", maps)
-    df = df.select(*[c for c in df.columns if c not in (pairs, "_m", "_maps")], F.posexplode("_maps").alias("_i", "_e"))
-    traded = (F.col("_type") == TRADE_REPORT) | (F.col("_type") == REPORT) & F.coalesce(_of(F.col("_e"), 150).isin("F", "1", "2", "G", "H"), F.lit(False))
-    # which rows a map gives is decided first, so that each struct is computed once
-    roles = (
-        F.when(F.col("_type").isin(*MARKET_DATA), F.array(F.lit("entry"))).when(F.col("_type") == TRADE_REPORT, F.array(F.lit("execution")))
-        .when(traded, F.array(F.lit("order"), F.lit("execution"))).otherwise(F.array(F.lit("order")))
-    )
-    df = df.select("*", F.posexplode(roles).alias("_j", "_role"))
-    e = F.col("_e")
-    event = F.when(F.col("_role") == "entry", _entry(e, venue)).when(F.col("_role") == "execution", _execution(e, venue)).otherwise(_order(e, venue))
-    out = df.withColumn("_event", event).withColumn("pos", F.col("_i") * 2 + F.col("_j"))
-    return out.select(*[c for c in df.columns if not c.startswith("_")], "pos", "_event.*")
+    keep = [c for c in df.columns if c != pairs]
+    rows = df.withColumn("_roles", _roles(F.col(pairs))).select(*keep, F.inline("_roles"))
+    m = F.col("m")
+    shared = _shared(m, venue)
+    event = F.when(F.col("role") == "entry", _entry(m)).when(F.col("role") == "execution", _execution(m)).otherwise(_order(m))
+    rows = rows.withColumns({"unix": instant(m), **shared, "_event": event}).withColumn("unix_hour", V.hour_of(F.col("unix")))
+    return rows.select(*keep, "pos", "unix", "unix_hour", *shared, "_event.*")

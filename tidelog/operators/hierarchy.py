@@ -118,7 +118,11 @@ def _solved(forest: DataFrame, nodes: int, level: int, stars: bool, task_nodes:
     left = open_.count()
     nothing = F.lit(None).cast("long")
     answers = _solved(open_, left, level + 1, left > nodes * 8 // 10 and not stars, task_nodes)
-    answers = answers.unionByName(upper.where("root is not null").select("node", "root", F.col("weight").alias("depth"), nothing.alias("ring")))
+    known = upper.where("root is not null").select("node", "root", F.col("weight").alias("depth"), nothing.alias("ring"))
+    if level > 0:  # what is a root above may be one that hangs on a root settled further below
+        below = known.select(F.col("node").alias("root"), F.col("root").alias("below"), F.col("depth").alias("more"))
+        answers = answers.join(below, "root", "left").select("node", F.coalesce("below", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), "ring")
+    answers = answers.unionByName(known)
     if stars:
         answers = answers.unionByName(local.where("ring is not null and node = exit").select("node", nothing.alias("root"), nothing.alias("depth"), "ring"))
     answers = settled(answers.select(F.col("node").alias("exit"), "root", "depth", F.col("ring").alias("exit_ring")), "answers")

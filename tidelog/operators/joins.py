@@ -48,8 +48,8 @@ def anti_join(chunk: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame
 def first_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the first by ``order``, then by all columns. A hot key's rows are reduced before they are shuffled."""
     rest = [c for c in df.columns if c not in keys]
-    comparable = [c for c in rest if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *[c for c in comparable if c not in order])).alias("_first"))
+    ties = [comparable(F.col(c), df.schema[c].dataType).alias(c) for c in rest if c not in order]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, *ties)).alias("_first"))
     return best.select(*keys, "_first.*").select(*df.columns)
 
 
@@ -57,11 +57,28 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def differs(a: str, b: str, columns: list[str]) -> Column:
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def comparable(c: Column, kind: T.DataType) -> Column:
+    """``c`` with its maps, at any depth, as sorted entries, for maps have no equality."""
+    if not _has_map(kind):
+        return c
+    if isinstance(kind, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(e["key"], comparable(e["value"], kind.valueType))))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: comparable(x, kind.elementType))
+    return F.when(c.isNotNull(), F.struct(*[comparable(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]))
+
+
+def differs(a: str, b: str, schema: T.StructType, columns: list[str]) -> Column:
     """Whether any of the columns differs, null against null being equal, as is NaN against NaN."""
     out = F.lit(False)
     for c in columns:
-        out = out | ~F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+        out = out | ~comparable(F.col(f"{a}.{c}"), schema[c].dataType).eqNullSafe(comparable(F.col(f"{b}.{c}"), schema[c].dataType))
     return out
 
 
@@ -70,7 +87,7 @@ def changed(chunk: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     rest = [c for c in chunk.columns if c not in keys]
     a, b = normalised(chunk, keys).alias("a"), normalised(aligned(chunk, stored, keys), keys).alias("b")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    return a.join(b, on).where(differs("a", "b", rest)).select("a.*")
+    return a.join(b, on).where(differs("a", "b", chunk.schema, rest)).select("a.*")
 
 
 def distinct_under(df: DataFrame, column: str, limit: int) -> list | None:
@@ -90,7 +107,7 @@ def as_of(left: DataFrame, right: DataFrame, by: list[str], at: str, prefix: str
     l = left.select(*by, F.col(at), F.struct(*[c for c in left.columns if c not in (*by, at)]).alias("_l"), F.lit(None).cast(right.select(payload).schema[0].dataType).alias("_r"), F.lit(1).alias("_side"))
     r = right.select(*by, F.col(at), F.lit(None).cast(l.schema["_l"].dataType).alias("_l"), payload.alias("_r"), F.lit(0).alias("_side"))
     both = l.unionByName(r)
-    slot = F.floor(F.col(at) / slice_nanos) if slice_nanos else F.lit(0)
+    slot = F.col(at) - F.pmod(at, F.lit(slice_nanos)) if slice_nanos else F.lit(0)
     both = both.withColumn("_slot", slot)
     here = Window.partitionBy(*by, "_slot").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
     both = both.withColumn("_last", F.last("_r", ignorenulls=True).over(here))

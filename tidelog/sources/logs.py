@@ -98,8 +98,7 @@ def parsed(rows: DataFrame, zone: str | None = None, fold: bool = True, message_
     df = df.withColumns({"unix_hour": V.hour_of(F.col("unix")), "etype": classify.event_type(F.col("message")), "protocol": classify.protocol(F.col("message"), F.col("driver_name"))})
     if message_layer:
         spoken = F.when(F.col("protocol") != "OTHER", F.col("message"))
-        df = tags.parse(df.withColumn("_m", spoken), "_m", "_pairs", F.col("protocol") == "UL").withColumn("_t", tags.resolved(tags.drop_null_values(F.col("_pairs"))))
-        df = tags.lift(df.withColumn("fix_tags", tags.known(F.col("_t"))).withColumn("keyval", tags.unknown(F.col("_t")))).drop("_m", "_t", "_pairs")
+        df = tags.lift(tags.parse(df.withColumn("_m", spoken), "_m", "_pairs", F.col("protocol") == "UL"), "_pairs").drop("_m", "_pairs")
         df = df.withColumn("symbol", F.coalesce("symbol", F.lit("")))
     else:
         df = df.withColumn("symbol", F.lit("")).withColumn("seq", F.lit(None).cast("long"))
@@ -127,7 +126,7 @@ def read_logs(spark: SparkSession, roots: list[str] | str, zone: str | None = No
 
 def rendered(rows: DataFrame) -> DataFrame:
     """``value``: log rows as header lines, to the microsecond."""
-    at = F.date_format(F.timestamp_micros(F.floor(F.col("unix") / 1000).cast("long")), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    at = F.date_format(F.timestamp_micros(V.micros(F.col("unix"))), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return rows.select(F.concat(F.substring(at, 1, 23), F.lit("_"), F.substring(at, 24, 3), F.lit(" ["), F.coalesce("thread_name", F.lit("")), F.lit("] ["), F.coalesce("driver_name", F.lit("")), F.lit("] "), F.coalesce("message", F.lit(""))).alias("value"))
 
 
