@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,12 +69,18 @@ def begun(message: Column, named: bool) -> Column:
     return F.coalesce(out, message)
 
 
+def _pair(key: Column, value: Column) -> Column:
+    return F.struct(key.alias("key"), value.alias("value"))
+
+
 def _trim(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\A[\s\x0b]+|[\s\x0b]+\z", "")
+    return F.trim(c, F.lit(" \t\r\n\f\x0b"))
 
 
-def _pair(key: Column, value: Column) -> Column:
-    return F.struct(key.alias("key"), value.alias("value"))
+def _cut(token: Column) -> Column:
+    """A token at its first equals sign."""
+    at = F.instr(token, "=")
+    return _pair(_trim(F.substring(token, F.lit(1), at - 1)), _trim(F.substring(token, at + 1, F.length(token))))
 
 
 def tokens(message: Column) -> Column:
@@ -142,7 +150,7 @@ def _rendered_pairs(messages: pa.Array) -> pa.Array:
 def parse(df, message: str = "message", out: str = "pairs", named: bool | Column = False):
     """``df`` with the pairs of its messages. ``named`` is one for all, or a column: rendered names are admitted where it is true. Wire
     messages, the most, are cut by native expressions; rendered ones, whose grammar nests, by an Arrow function."""
-    split = F.transform(tokens(F.when(~named, F.col(message)) if isinstance(named, Column) else F.col(message)), lambda t: _pair(_trim(F.substring_index(t, "=", 1)), _trim(F.regexp_replace(t, r"(?s)\A[^=]*=", ""))))
+    split = F.transform(tokens(F.when(~named, F.col(message)) if isinstance(named, Column) else F.col(message)), _cut)
     if named is False:
         return df.withColumn(out, split).withColumn(out, until_checksum(F.col(out)))
     said = F.when(named, F.col(message)) if isinstance(named, Column) else F.col(message)
@@ -203,11 +211,18 @@ def transcribed(pairs: pa.Array) -> pa.Array:
 
 @F.arrow_udf(PAIR_TYPE)
 def from_pairs(pairs: pa.Array) -> pa.Array:
-    """Pairs with names as pairs with tags; what names no tag keeps its name, what has no value goes."""
-    out = []
-    for row in pairs.to_pylist():
-        out.append(None if row is None else [{"key": str(t) if (t := _tag(re.sub(r"[ _-]+", "", p["key"]))) is not None and "[" not in p["key"] else p["key"], "value": p["value"]} for p in row if p["value"] is not None])
-    return pa.array(out, _PAIRS_ARROW)
+    """Pairs with names as pairs with tags; what names no tag keeps its name, what has no value goes. Each distinct key is resolved once a batch."""
+    flat, parent = pc.list_flatten(pairs), pc.list_parent_indices(pairs)
+    have = pc.is_valid(pc.struct_field(flat, "value"))
+    flat, parent = flat.filter(have), parent.filter(have)
+    coded = pc.struct_field(flat, "key").dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    tags = [None if k is None or "[" in k else _tag(re.sub(r"[ _-]+", "", k)) for k in names]
+    keys = pa.array([k if t is None else str(t) for k, t in zip(names, tags)], pa.string()).take(coded.indices)
+    sizes = np.bincount(parent.to_numpy(), minlength=len(pairs)) if len(parent) else np.zeros(len(pairs), np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    both = pa.StructArray.from_arrays([keys, pc.struct_field(flat, "value")], ["key", "value"])
+    return pa.ListArray.from_arrays(pa.array(ends), both, mask=pc.is_null(pairs))
 
 
 _KINDS = {"S": lambda t: t, "L": V.integer, "D": V.number, "B": V.bool_words, "X": lambda t: t.cast("binary"), "N": V.nanos}

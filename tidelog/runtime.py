@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,5 +54,21 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if n <= rows else df
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """``spark``, once this package is on its way to the Python workers, wherever the executors were started."""
+    context = spark.sparkContext
+    if not hasattr(context, "_tidelog_shipped"):
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="tidelog-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        with zipfile.ZipFile(f"{folder}/tidelog.zip", "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(f"{folder}/tidelog.zip")
+        context._tidelog_shipped = True
+    return spark
+
+
 def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
