@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 BLOCK = 8192
 
+#: Stands between the groups of a header; a private character that no log has.
+_CUT = "\ue0f1"
+
 # fixed values: printed severities and what they count as
 LEVELS = {
     "DEBUG": ("TRACE", "TRC", "FINEST", "FINER", "FINE", "CONFIG", "VERBOSE", "DEBUG", "DBG", "7"),
@@ -127,9 +130,15 @@ def records(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     found = entries_of(lines, block)
     by = {x.name: x for x in LAYOUTS}
+    # all groups of a header by one pass of its pattern; the last group may hold anything
+    cut = F.lit(None).cast("array<string>")
+    for x in LAYOUTS:
+        groups = F.regexp_replace("head", x.start, _CUT.join(f"${i + 1}" for i in range(len(x.groups))))
+        cut = F.when(F.col("layout") == x.name, F.split(groups, _CUT, len(x.groups))).otherwise(cut)
+    found = found.withColumn("cut", cut)
 
     def group(layout: str, name: str) -> Column:
-        return _first(F.col("head"), by[layout].start, by[layout].groups.index(name) + 1)
+        return F.get("cut", F.lit(by[layout].groups.index(name)))
 
     def pick(**of: Column) -> Column:
         out = F.lit(None).cast("string")
@@ -137,8 +146,8 @@ def records(lines: DataFrame, block: int = BLOCK) -> DataFrame:
             out = F.when(F.col("layout") == layout, value).otherwise(out)
         return out
 
-    rest = group("pairs", "rest")
-    pair = lambda name: _unquoted(_first(rest, r'(?s)^(?: [^\s=]+=(?:"(?:[^"\\]|\\.)*"|\S*))*? ' + name + r'=("(?:[^"\\]|\\.)*"|\S*)'))
+    found = found.withColumn("pairs", F.when(F.col("layout") == "pairs", F.regexp_extract_all(group("pairs", "rest"), F.lit(r' [^\s=]+=(?:"(?:[^"\\]|\\.)*"|\S*)'), F.lit(0))))
+    pair = lambda name: _unquoted(F.substring(F.get(F.filter("pairs", lambda t: F.startswith(t, F.lit(f" {name}="))), F.lit(0)), F.lit(len(name) + 3), F.lit(1 << 30)))
     body = F.from_json(group("json", "body"), "ts string, level string, logger string, thread string, msg string")
     severity = F.pmod(group("syslog", "priority").try_cast("int"), F.lit(8)).cast("string")
     said = r"(?s)^([A-Za-z]+):(?: |$|\n)?"
