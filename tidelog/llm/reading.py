@@ -261,7 +261,8 @@ def trained(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> bytes:
         model = fit(frame["text"].tolist(), [sorted(map(int, x)) for x in frame["said"]]) if frame is not None else None
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    return bytes(rows.coalesce(1).mapInArrow(learn, "model binary").first()[0])
+    made = rows.coalesce(1).mapInArrow(learn, "model binary").first()
+    return bytes(made[0]) if made else pickle.dumps(None)  # no rows at all: no task ran
 
 
 def leveled(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
