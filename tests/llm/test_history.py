@@ -143,3 +143,43 @@ def test_row_forms(spark):
 @pytest.mark.parametrize("a, b, same", [("", "", True), ("", "a", False), ("ab", "abcd", True), ("ab", "abcde", False), ("a�c", "abc", True), ("a1c", "a2c", False), ("a�cd", "axcde", True), ("���� x", "abcd x", False)])
 def test_same_line(a, b, same):
     assert H.same_line(a, b) is same and H.same_line(b, a) is same
+
+
+def ending_in_identifiers(rng, n):
+    """Distinct lines of templates that end in their identifier, and damaged and cut ones of these."""
+    tails = lambda: f"T0-{rng.randint(100000, 100000 + 2 * n)}"
+    base = [rng.choice([f"throttle window opened at {rng.randint(700, 760)} quotes per second for feed {tails()}", f"clearing file accepted, {rng.randint(1, 20)} records, control number {tails()}", f"ok {tails()}"]) for _ in range(n)]
+    out = [*base, "ab", "�b", "a�"]
+    for _ in range(n):
+        m = list(rng.choice(base))
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            m[rng.randrange(len(m))] = "�"
+        out.append("".join(m)[: rng.choice([len(m), rng.randint(len(m) // 2, len(m))])].strip())
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("block", [25, 20_000])
+def test_hot_key_of_templates(spark, block):
+    """A partner hidden by rows that share more of the template with the damaged line than it does."""
+    rows = [(i, i, 5_000_000, "d", "t", m) for i, m in enumerate(ending_in_identifiers(random.Random(3), 80))]
+    assert found(spark, rows, block=block) == plain_log(rows)
+
+
+def test_hot_key_in_batches():
+    forms = [plain_form(m) for m in ending_in_identifiers(random.Random(4), 100)]
+    h = H.History(lambda a, b: H.same_line(forms[a], forms[b]))
+    got = set()
+    for at in range(0, len(forms), 20):
+        n = np.arange(at, min(at + 20, len(forms)))
+        got |= {int(i) for i, f in zip(n, h.add(n, np.zeros(len(n), int), [forms[i] for i in n])) if f}
+    assert got == {j for i, j in itertools.combinations(range(len(forms)), 2) if H.same_line(forms[i], forms[j])}
+
+
+def test_rows_looked_up():
+    """Doubles that agree but are printed apart at four digits, among many rows of the same strings."""
+    rng = random.Random(6)
+    forms = [f"=v\x1f{a!r} {b} ~" for a, b in ((1.2345 * (1 + rng.choice([-1, 0, 1]) * 4e-7), rng.randint(1, 40)) for _ in range(150))] + ["=v\x1f~ ~ ~", "=v\x1fNaN 1 ~", "=v\x1fNaN 1.0000001 ~", "=v\x1f1.5"]
+    rows = H.Rows(forms, list(range(len(forms))))
+    got = {j for j, f in enumerate(forms) if any(H._same_row(forms[i], f) for i in rows.like(f, j))}
+    assert got == {j for i, j in itertools.combinations(range(len(forms)), 2) if H._same_row(forms[i], forms[j])} and got

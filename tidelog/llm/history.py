@@ -2,9 +2,10 @@
 
 Records that could repeat each other share a key. A segment is an immutable suffix array over the concatenated texts of
 some records, its suffixes ordered by key and words. A record is looked up in a segment by binary search: from its first
-word on the longest stretch that stands there, then on behind it; the stretches found are added up per record of the segment. What
-a record and one of these share then decides which pairs are compared exactly. A lookup goes both ways, for the one that
-ended early may be the older one.
+word on the longest stretch that stands there, then on behind it; whoever stands in the narrowest ranges found is met and compared
+exactly. A lookup goes both ways, for the one that ended early may be the older one. Another record may hide a partner by sharing
+a longer stretch, so a record that has not met an earlier one like it is then looked up from its beginning (:class:`Lines`,
+:class:`Rows`), where every record that could be its partner is met.
 
 Segments follow the logarithmic method: two of a size are merged into one of twice the size, so a record takes part in
 logarithmically many. :class:`History` keeps them batch by batch; :func:`repeats` uses the same scheme at once for a whole
@@ -14,6 +15,7 @@ table, block against block of each key.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,11 +26,8 @@ from pyspark.sql import functions as F
 
 from tidelog.runtime import settled
 
-#: Stretches shorter than this (and than the record) tell nothing.
-STRETCH = 3
-#: The part of the shorter record that its stretches have to cover. Low, for what a record shares with two others counts for the one
-#: with which it shares more; the exact comparison decides.
-COVERED = 0.1
+#: Ranges wider than this are left to the lookup from the beginning.
+WIDE = 64
 #: Different texts of one key that a task takes at a time; a key with more is cut into blocks, each pair of blocks a task of its own.
 BLOCK = 20_000
 #: Texts a task has at least before another is opened.
@@ -127,56 +126,28 @@ class Segment:
         return length, lo, hi
 
     def candidates(self, query: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (record of ``query``, record of the segment) that share enough."""
+        """Pairs (record of ``query``, record of the segment) that meet in one of the three narrowest ranges of the former."""
         n = len(query.key)
         pos = np.zeros(n, np.int64)
-        rows, lows, highs, lengths = [], [], [], []
+        rows, lows, highs = [], [], []
         live = np.flatnonzero(np.isin(query.key, np.unique(self.texts.key)) & (query.length > 0))
         while len(live):
             length, lo, hi = self.longest(query.key[live], query.start[live] + pos[live], query.length[live] - pos[live], query.words)
-            good = length >= np.minimum(STRETCH, query.length[live])
-            rows.append(live[good]), lows.append(lo[good]), highs.append(hi[good]), lengths.append(length[good])
+            good = (length > 0) & (hi - lo <= WIDE)
+            rows.append(live[good]), lows.append(lo[good]), highs.append(hi[good])
             pos[live] += np.maximum(length, 1)
             live = live[pos[live] < query.length[live]]
         if not rows:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        row, lo, hi, length = (np.concatenate(x) for x in (rows, lows, highs, lengths))
-        # a partner that is damaged in one place is in all ranges but two: the three narrowest of a record are enough to meet it
+        row, lo, hi = (np.concatenate(x) for x in (rows, lows, highs))
         order = np.lexsort((hi - lo, row))
-        row, lo, hi, length = row[order], lo[order], hi[order], length[order]
-        nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
-        met = nth < 3
+        row, lo, hi = row[order], lo[order], hi[order]
+        met = np.arange(len(row)) - np.searchsorted(row, row, "left") < 3
         n_hit = (hi - lo)[met]
         ours = np.repeat(row[met], n_hit)
         place = np.repeat(lo[met] - np.cumsum(n_hit) + n_hit, n_hit) + np.arange(n_hit.sum())
-        theirs = self.record[self.suffixes[place]]
-        pair, index = np.unique(np.stack([ours, theirs], 1), axis=0, return_inverse=True)
-        # coverage: all stretches of the record, wherever this partner is in their range
-        covered = np.bincount(index.ravel(), np.repeat(length[met], n_hit), len(pair))
-        if (~met).any():
-            covered += self._rest_covered(pair, row[~met], lo[~met], hi[~met], length[~met])
-        ours, theirs = pair[:, 0], pair[:, 1]
-        ok = covered >= COVERED * np.minimum(query.length[ours], self.texts.length[theirs])
-        return ours[ok], theirs[ok]
-
-    def _rest_covered(self, pair: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """What wider stretches add to pairs already met: each is looked up among the suffixes of the partner, whose places are sorted."""
-        if not hasattr(self, "_by_record"):
-            places = np.empty(len(self.suffixes), np.int64)
-            places[self.suffixes] = np.arange(len(self.suffixes))
-            order = np.lexsort((places, self.record))
-            self._by_record = (self.record[order], places[order])
-        record, places = self._by_record
-        code = record * (len(places) + 1) + places  # ascending
-        out = np.zeros(len(pair))
-        begin, end = np.searchsorted(row, pair[:, 0], "left"), np.searchsorted(row, pair[:, 0], "right")
-        n = end - begin
-        which = np.repeat(np.arange(len(pair)), n)
-        k = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
-        base = pair[which, 1] * (len(places) + 1)
-        has = np.searchsorted(code, base + lo[k], "left") < np.searchsorted(code, base + hi[k], "left")
-        np.add.at(out, which[has], length[k[has]])
-        return out
+        pair = np.unique(np.stack([ours, self.record[self.suffixes[place]]], 1), axis=0)
+        return pair[:, 0], pair[:, 1]
 
 
 def _both_ways(a: Texts, b: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -212,14 +183,118 @@ def pairs_within(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([nothing, *out_a]), np.concatenate([nothing, *out_b])
 
 
+def _lost(a: str, b: str) -> int:
+    """How many characters of two texts of a length are illegible in one of them; -1 if they differ otherwise."""
+    if a == b:
+        return 0
+    lost = 0
+    for x, y in zip(a, b):
+        if x != y:
+            if x != "�" and y != "�":
+                return -1
+            lost += 1
+    return lost
+
+
+class Lines:
+    """The lines of a key as a tree over their sorted array: a node is the range of lines that begin alike, made when it is first visited."""
+
+    def __init__(self, lines: list[str], numbers: list[int]):
+        first: dict[str, int] = {}
+        for i, line in sorted(zip(numbers, lines)):
+            first.setdefault(line, i)
+        self.lines = sorted(first)
+        self.numbers = np.array([first[x] for x in self.lines], np.int64)
+        self.nodes: dict[tuple[int, int], tuple[int, int, dict[str, tuple[int, int]]]] = {}
+
+    def _node(self, lo: int, hi: int) -> tuple[int, int, dict[str, tuple[int, int]]]:
+        """How long all of the range are alike, its least number, and the ranges by the next character."""
+        if (node := self.nodes.get((lo, hi))) is None:
+            a, b = self.lines[lo], self.lines[hi - 1]
+            m, over = 0, min(len(a), len(b)) + 1
+            while over - m > 1:
+                mid = (m + over) // 2
+                m, over = (mid, over) if a[m:mid] == b[m:mid] else (m, mid)
+            below, i = {}, lo + (len(a) == m)
+            while i < hi:
+                c = self.lines[i][m]
+                j = bisect_left(self.lines, a[:m] + chr(ord(c) + 1), i, hi) if ord(c) < 0x10FFFF else hi
+                below[c] = (i, j)
+                i = j
+            node = self.nodes[lo, hi] = (m, int(self.numbers[lo:hi].min()), below)
+        return node
+
+    def like(self, line: str, before: int) -> Iterator[int]:
+        """All numbers less than ``before`` whose lines say the same as ``line`` as far as both go, an illegible character being like any."""
+        most = max(3, len(line) // 10)
+        todo = [(0, len(self.lines), 0, 0)] if self.lines else []
+        while todo:
+            lo, hi, depth, lost = todo.pop()
+            m, least, below = self._node(lo, hi)
+            if least >= before:
+                continue
+            end = min(m, len(line))
+            more = _lost(self.lines[lo][depth:end], line[depth:end])
+            if more < 0 or lost + more > most:
+                continue
+            if m >= len(line):
+                here = self.numbers[lo:hi]
+                yield from here[here < before].tolist()
+                continue
+            if len(self.lines[lo]) == m and self.numbers[lo] < before:
+                yield int(self.numbers[lo])
+            c = line[m]
+            todo += [(*below[k], m, lost + more) for k in (below if c == "�" else (c, "�")) if k in below]
+
+
+class Rows:
+    """The row forms of a key by their strings, and by the double that varies most among rows of these."""
+
+    def __init__(self, forms: list[str], numbers: list[int]):
+        groups: dict[tuple, list[tuple[list[float], int]]] = {}
+        for f, i in zip(forms, numbers):
+            kind, doubles = self._cut(f)
+            groups.setdefault(kind, []).append((doubles, i))
+        self.groups = {}
+        for kind, rows in groups.items():
+            varied = [len(set(v)) for v in zip(*(d for d, _ in rows))]
+            by = varied.index(max(varied)) if varied else -1
+            rows = sorted((d[by] if varied else 0.0, i) for d, i in rows)
+            self.groups[kind] = by, [v for v, _ in rows], [i for _, i in rows]
+
+    @staticmethod
+    def _cut(form: str) -> tuple[tuple, list[float]]:
+        """What has to be equal, and the finite doubles."""
+        strings, _, doubles = form.partition("\x1f")
+        printed = doubles.split(" ")
+        finite = [d not in ("", "~") and abs(float(d)) < float("inf") for d in printed]
+        return (strings, *("" if ok else d for d, ok in zip(printed, finite))), [float(d) for d, ok in zip(printed, finite) if ok]
+
+    def like(self, form: str, before: int) -> Iterator[int]:
+        kind, doubles = self._cut(form)
+        if kind in self.groups:
+            by, values, numbers = self.groups[kind]
+            v = doubles[by] if doubles else 0.0
+            off = 2e-6 * abs(v)
+            yield from (i for i in numbers[bisect_left(values, v - off) : bisect_right(values, v + off)] if i < before)
+
+
+def _by_key(keys: np.ndarray, texts: list[str], numbers: np.ndarray, index: type) -> dict[int, Lines | Rows]:
+    """An index of each key."""
+    members: dict[int, list[int]] = {}
+    for i, k in enumerate(keys.tolist()):
+        members.setdefault(k, []).append(i)
+    return {k: index([texts[i] for i in m], [int(numbers[i]) for i in m]) for k, m in members.items()}
+
+
 class History:
     """Everything accepted so far, as segments; ``add`` takes in a batch and says which of its records repeat an earlier one."""
 
-    def __init__(self, same: Callable[[int, int], bool]):
-        """``same`` compares two records by the numbers they were added under."""
-        self.same = same
+    def __init__(self, same: Callable[[int, int], bool], index: type = Lines):
+        """``same`` compares two records by the numbers they were added under, which rise; ``index`` is how their texts are looked up from the beginning."""
+        self.same, self.index = same, index
         self.words: dict[str, int] = {}
-        self.segments: list[tuple[np.ndarray, Texts, Segment]] = []
+        self.segments: list[tuple[np.ndarray, Texts, Segment, list[str], dict[int, Lines | Rows]]] = []
 
     def add(self, numbers: np.ndarray, keys: np.ndarray, texts: list[str]) -> np.ndarray:
         batch = Texts(keys, texts, self.words)
@@ -227,20 +302,27 @@ class History:
         for i, j in zip(*pairs_within(batch)):
             repeat[j] = repeat[j] or self.same(int(numbers[i]), int(numbers[j]))
         own = Segment(batch)
-        for there, old, segment in self.segments:
+        for there, old, segment, _, _ in self.segments:
             j, i = segment.candidates(batch)
             touched = np.flatnonzero(np.isin(old.key, batch.key))  # the reverse only for keys the batch brings
             i2, j2 = own.candidates(old.subset(touched, old.key[touched]))
             for a, b in {*zip(i.tolist(), j.tolist()), *zip(touched[i2].tolist(), j2.tolist())}:
                 repeat[b] = repeat[b] or self.same(int(there[a]), int(numbers[b]))
-        self.segments.append((np.asarray(numbers), batch, own))
+        numbers = np.asarray(numbers)
+        mine = _by_key(batch.key, texts, numbers, self.index)
+        for b in np.flatnonzero(~repeat).tolist():
+            k, n = int(batch.key[b]), int(numbers[b])
+            known = [mine[k], *(by_key[k] for *_, by_key in self.segments if k in by_key)]
+            repeat[b] = any(self.same(a, n) for index in known for a in index.like(texts[b], n))
+        self.segments.append((numbers, batch, own, texts, mine))
         while len(self.segments) > 1 and len(self.segments[-2][0]) <= 2 * len(self.segments[-1][0]):
-            (n2, b, _), (n1, a, _) = self.segments.pop(), self.segments.pop()
+            (n2, b, _, t2, _), (n1, a, _, t1, _) = self.segments.pop(), self.segments.pop()
             merged = object.__new__(Texts)
             merged.words = np.concatenate([a.words, b.words])
             merged.key, merged.length = np.concatenate([a.key, b.key]), np.concatenate([a.length, b.length])
             merged.start = np.concatenate([a.start, b.start + len(a.words)])
-            self.segments.append((np.concatenate([n1, n2]), merged, Segment(merged)))
+            n, texts = np.concatenate([n1, n2]), [*t1, *t2]
+            self.segments.append((n, merged, Segment(merged), texts, _by_key(merged.key, texts, n, self.index)))
         return repeat
 
 
@@ -331,10 +413,10 @@ def exact_repeats(df: DataFrame, keys: tuple[str, ...] = ("hash", "unix")) -> Da
     return rows.join(firsts, list(keys)).where(F.col("row_id") > F.col("first")).select("row_id")
 
 
-_SAME = {"line": same_line, "row": _same_row}
+_SAME = {"line": (same_line, Lines), "row": (_same_row, Rows)}
 
 
-def _find(batches: Iterator[pa.RecordBatch], same: Callable[[str, str], bool]) -> Iterator[pa.RecordBatch]:
+def _find(batches: Iterator[pa.RecordBatch], same: Callable[[str, str], bool], index: type) -> Iterator[pa.RecordBatch]:
     """Of each task (``part``), whose rows come one after the other, the entries that repeat an earlier one."""
 
     def solve(t: pd.DataFrame) -> np.ndarray:
@@ -351,6 +433,13 @@ def _find(batches: Iterator[pa.RecordBatch], same: Callable[[str, str], bool]) -
         for i, j in zip(*pairs):
             if rows[j] not in found and rows[i] != rows[j] and same(texts[i], texts[j]):
                 found.add(rows[j])
+        # whoever is left is looked up from the beginning: among all of its key, or those of the other block
+        numbers = np.arange(len(rows))
+        known = {s: _by_key(key[side == s], [texts[i] for i in np.flatnonzero(side == s)], numbers[side == s], index) for s in np.unique(side).tolist()}
+        for j, (k, s) in enumerate(zip(key.tolist(), side.tolist())):
+            others = [x for o, by_key in known.items() if (s < 0 or o != s) and (x := by_key.get(k))]
+            if rows[j] not in found and any(same(texts[i], texts[j]) for x in others for i in x.like(texts[j], j)):
+                found.add(rows[j])
         return np.array(sorted(found), np.int64)
 
     held: list[pa.RecordBatch] = []
@@ -385,7 +474,7 @@ def repeats(rows: DataFrame, kind: str, block: int = BLOCK) -> DataFrame:
     repeat nothing. Rows of equal key and form are combined before anything is searched; a key with more than ``block`` forms is
     cut into blocks and each pair of blocks is a task of its own, so no key is ever gathered in one place.
     """
-    same = _SAME[kind]
+    same, index = _SAME[kind]
     rows = rows.where("key is not null and form is not null").withColumn("k", F.xxhash64("key"))
     # only keys with a second row can hold a repeat
     several = rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
@@ -404,7 +493,7 @@ def repeats(rows: DataFrame, kind: str, block: int = BLOCK) -> DataFrame:
     large = placed.where("blocks > 1").withColumn("b", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     large = large.select(F.xxhash64("key", F.least("b", "o"), F.greatest("b", "o"), F.lit(3)).alias("part"), "key", "form", "row_id", F.when(F.col("b") == F.col("o"), -1).otherwise(F.col("b")).alias("side"))
     work = small.unionByName(large).repartition("part").sortWithinPartitions("part")
-    altered = work.mapInArrow(lambda b: _find(b, same), "row_id long")
+    altered = work.mapInArrow(lambda b: _find(b, same, index), "row_id long")
     return copies.union(altered).distinct()
 
 
