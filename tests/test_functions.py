@@ -192,3 +192,21 @@ def test_locations():
     assert (s.bucket, s.key, s.user, s.secret, s.region) == ("bucket", "a/b c", "key", "se:cret", "eu") and "cret" not in repr(s)
     assert s.join("d").uri() == "s3a://bucket/a/b%20c/d" and s.parent.key == "a" and Location.parse("C:\\x\\y").path == "C:/x/y"
     assert Location.parse("https://name.s3.eu-west-1.amazonaws.com/k").bucket == "name" and s.hadoop()["fs.s3a.bucket.bucket.access.key"] == "key"
+
+
+def test_alternative_identifiers(spark):
+    """All entries of group 454, by the scheme's name; those of a market-data entry are its own."""
+    two = "454=2|455=US0378331005|456=4|455=037833100|456=1|"
+    rows = [
+        (1, f"8=FIX.4.4|35=D|11=a|55=S|48=X.Y|22=5|{two}54=1|10=1"), (2, "8=FIX.4.4|35=D|11=b|454=3|455=A|456=8|455=B|456=8|455=C|456=Z|10=1"), (3, "8=FIX.4.4|35=D|11=c|48=DE0001|22=4|10=1"), (4, "8=FIX.4.4|35=D|11=d|454=1|455=A|456=4|455=B|456=1|10=1"),
+        (5, f"8=FIX.4.4|35=W|55=S|{two}268=2|269=0|270=9|269=1|270=10|10=1"), (6, f"8=FIX.4.4|35=X|268=2|279=0|269=0|55=S|{two}270=9|279=0|269=1|55=T|454=1|455=T1|456=2|270=10|10=1"),
+    ]
+    df = tags.parse(spark.createDataFrame(rows, "id long, message string"))
+    got = {(r.id, r.pos): (r.instrument.alt_ids, r.instrument.isin_code, r.px) for r in E.events(df.select("id", tags.from_pairs("pairs").alias("pairs"))).collect()}
+    both = {"ISIN": "US0378331005", "CUSIP": "037833100"}
+    assert got == {
+        (1, 0): (both, "US0378331005", None), (2, 0): ({"EXCHANGE": "A", "Z": "C"}, None, None), (3, 0): (None, "DE0001", None), (4, 0): ({"ISIN": "A"}, "A", None),
+        (5, 0): (both, "US0378331005", 9.0), (5, 2): (both, "US0378331005", 10.0), (6, 0): (both, "US0378331005", 9.0), (6, 2): ({"SEDOL": "T1"}, None, 10.0),
+    }
+    named = [("11", "e"), ("NoSecurityAltID[1].SecurityAltID", "B"), ("NoSecurityAltID[1].SecurityAltIDSource", "1"), ("NoSecurityAltID[0].SecurityAltID", "A"), ("NoSecurityAltID[0].SecurityAltIDSource", "4")]
+    assert list(E.alternatives(named).items()) == [("ISIN", "A"), ("CUSIP", "B")]

@@ -39,22 +39,21 @@ def message_type(m: Column) -> Column:
     return F.coalesce(said, F.when(_of(m, 268).isNotNull(), "X").when(_of(m, 17).isNotNull() | _of(m, 150).isNotNull(), "8").when(_of(m, 11).isNotNull(), "D"))
 
 
-def instrument(m: Column) -> Column:
-    """The instrument struct of a message."""
-    alt = F.when(_of(m, 455).isNotNull() & _of(m, 456).isNotNull(), F.create_map(_of(m, 456), _of(m, 455)))
+def instrument(m: Column, alt: Column) -> Column:
+    """The instrument struct of a message with its alternative identifiers."""
     return F.struct(
         F.coalesce(_of(m, 55), F.lit("")).alias("symbol"), codes.asset_kind(_of(m, 461), _of(m, 167)).alias("kind"), _of(m, 48).alias("security_id"), _of(m, 22).alias("security_id_source"),
-        V.isin(_of(m, 48), _of(m, 22), alt).alias("isin_code"), alt.alias("alt_ids"), _of(m, 167).alias("security_type"), _of(m, 461).alias("cfi"), _of(m, 207, 100).alias("exchange"), _of(m, 15).alias("currency"),
+        V.isin(F.nullif(_of(m, 48), F.lit("")), _of(m, 22), alt).alias("isin_code"), alt.alias("alt_ids"), _of(m, 167).alias("security_type"), _of(m, 461).alias("cfi"), _of(m, 207, 100).alias("exchange"), _of(m, 15).alias("currency"),
         V.number(_of(m, 231)).alias("multiplier"), V.number(_of(m, 969)).alias("tick"), V.number(_of(m, 561)).alias("lot"), F.coalesce(V.date(_of(m, 541)), V.month_year(_of(m, 200))).alias("maturity"),
         V.number(_of(m, 202)).alias("strike"), codes.of_wire(codes.OptionKind, _of(m, 201)).alias("option_kind"), _of(m, 107).alias("label"),
     )
 
 
-def _shared(m: Column, venue: str | None) -> dict[str, Column]:
+def _shared(m: Column, alt: Column, venue: str | None) -> dict[str, Column]:
     """What all rows have; computed once, before anything is decided by role."""
     return {
         "eunix": V.expires(_of(m, 126), _of(m, 432)), "seq": V.integer(_of(m, 34)), "symbol": F.coalesce(_of(m, 55), F.lit("")), "venue": F.coalesce(F.lit(venue), _of(m, 30, 207, 49)),
-        "px_unit": F.coalesce(_of(m, 15), F.lit("")), "instrument": instrument(m), "metadata": F.map_filter(m, lambda k, v: ~k.isin(*_CLAIMED)),
+        "px_unit": F.coalesce(_of(m, 15), F.lit("")), "instrument": instrument(m, alt), "metadata": F.map_filter(m, lambda k, v: ~k.isin(*_CLAIMED)),
     }
 
 
@@ -103,10 +102,42 @@ def _entry(m: Column) -> Column:
 
 _HEADED = ("55", "48", "22", "15", "207")
 _INDEXED = re.compile(r"#?NoMDEntries\[(\d+)\]\.?(.*)", re.I | re.S)
+_ALTERNATIVES = ("454", "455", "456")
+_ALTERNATIVE = re.compile(r"#?NoSecurityAltID\[(\d+)\]\.?(.*)", re.I | re.S)
+_SCHEMES = {wire: codes.IdSource(code).name for code, wire in codes.WIRE["IdSource"].items()}
 
 
-def maps_of(pairs: list[tuple[str, str]]) -> list[dict[str, str]]:
-    """The first values of a message by key; of market data those of each entry, the header beneath them. The type is always there as 35."""
+def alternatives(pairs: list[tuple[str, str]]) -> dict[str, str]:
+    """The alternative identifiers of a message (group 454) by their scheme's name, an unknown scheme by its character; the first of a scheme counts."""
+    entries: list[dict[str, str]] = []
+    at = next((i for i, (k, _) in enumerate(pairs) if k == "454"), None)
+    if at is not None and at + 1 < len(pairs) and (n := pairs[at][1].strip()).isdecimal():
+        opener = pairs[at + 1][0]
+        for k, v in pairs[at + 1 :]:
+            if k == opener:
+                if len(entries) == int(n):
+                    break
+                entries.append({})
+            elif not entries or k in entries[-1]:
+                break
+            entries[-1][k] = v
+    if not entries:
+        by_index: dict[int, dict[str, str]] = {}
+        for k, v in pairs:
+            if "[" in k and (m := _ALTERNATIVE.fullmatch(k)):
+                by_index.setdefault(int(m[1]), {}).setdefault(str(TAG_OF.get(m[2].lower(), m[2])), v)
+        entries = [by_index[i] for i in sorted(by_index)]
+    found: dict[str, str] = {}
+    for e in entries:
+        if named := e.get("455"):
+            scheme = (e.get("456") or "").strip()
+            found.setdefault(_SCHEMES.get(scheme, scheme) or "UNKNOWN", named)
+    return found
+
+
+def maps_of(pairs: list[tuple[str, str]]) -> list[tuple[dict[str, str], dict[str, str]]]:
+    """The first values of a message by key, and its alternative identifiers; of market data those of each entry, the header beneath
+    them. An entry that names an instrument has only its own alternatives. The type is always there as 35."""
     first: dict[str, str] = {}
     for k, v in pairs:
         first.setdefault(k, v)
@@ -114,55 +145,65 @@ def maps_of(pairs: list[tuple[str, str]]) -> list[dict[str, str]]:
     if kind is None:
         return []
     first["35"] = kind
+    alt = alternatives(pairs) if "454" in first or any("[" in k for k in first) else {}
     if kind not in MARKET_DATA:
-        return [first]
+        return [(first, alt)]
     members = {str(t) for t in ENTRY}
     entries: list[dict[str, str]] = []
+    own: list[list[tuple[str, str]]] = []
     at = next((i for i, (k, _) in enumerate(pairs) if k == "268"), None)
     if at is not None and at + 1 < len(pairs):
         opener = pairs[at + 1][0]
         for k, v in pairs[at + 1 :]:
+            if k in _ALTERNATIVES and entries:
+                own[-1].append((k, v))
+                continue
             if k not in members:
                 break
             if k == opener or not entries or k in entries[-1]:
                 entries.append({})
+                own.append([])
             entries[-1][k] = v
+            own[-1].append((k, v))
         n = first["268"]
         entries = entries[: int(n)] if n.isdigit() else []
     else:
         by_index: dict[int, dict[str, str]] = {}
+        inside: dict[int, list[tuple[str, str]]] = {}
         for k, v in pairs:
             if m := _INDEXED.fullmatch(k):
                 tag = TAG_OF.get(m[2].lower())
                 by_index.setdefault(int(m[1]), {}).setdefault(str(tag) if tag else m[2], v)
-        entries = [by_index[i] for i in sorted(by_index)]
+                inside.setdefault(int(m[1]), []).append((str(tag) if tag else m[2], v))
+        entries, own = [by_index[i] for i in sorted(by_index)], [inside[i] for i in sorted(by_index)]
     header = {k: v for k, v in first.items() if k not in members or k in _HEADED}
-    return [header | e for e in entries if e.get("269") in ("0", "1", "2")]
+    names = lambda e: any(k in _HEADED or k == "454" or "[" in k and _ALTERNATIVE.fullmatch(k) for k, _ in e)
+    return [(header | e, alternatives(o) if names(o) else alt) for e, o in zip(entries, own) if e.get("269") in ("0", "1", "2")]
 
 
-def roles_of(pairs: list[tuple[str, str]]) -> list[tuple[int, str, dict[str, str]]]:
-    """Of each row that a message gives: its place, what it is, and the values it is made of."""
+def roles_of(pairs: list[tuple[str, str]]) -> list[tuple[int, str, dict[str, str], dict[str, str]]]:
+    """Of each row that a message gives: its place, what it is, the values it is made of, and its alternative identifiers."""
     out = []
-    for i, m in enumerate(maps_of(pairs)):
+    for i, (m, alt) in enumerate(maps_of(pairs)):
         kind = m["35"]
         if kind in MARKET_DATA:
-            out.append((2 * i, "entry", m))
+            out.append((2 * i, "entry", m, alt))
         elif kind == TRADE_REPORT:
-            out.append((2 * i, "execution", m))
+            out.append((2 * i, "execution", m, alt))
         elif kind in ORDERS or kind == REPORT:
-            out.append((2 * i, "order", m))
+            out.append((2 * i, "order", m, alt))
             if kind == REPORT and m.get("150") in TRADED:
-                out.append((2 * i + 1, "execution", m))
+                out.append((2 * i + 1, "execution", m, alt))
     return out
 
 
 _MAP = T.MapType(T.StringType(), T.StringType())
-_ROLE = pa.list_(pa.struct([("pos", pa.int32()), ("role", pa.string()), ("m", pa.map_(pa.string(), pa.string()))]))
+_ROLE = pa.list_(pa.struct([("pos", pa.int32()), ("role", pa.string()), ("m", pa.map_(pa.string(), pa.string())), ("alt", pa.map_(pa.string(), pa.string()))]))
 
 
-@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("m", _MAP)])))
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("m", _MAP), T.StructField("alt", _MAP)])))
 def _roles(pairs: pa.Array) -> pa.Array:
-    out = [None if row is None else [{"pos": i, "role": r, "m": list(m.items())} for i, r, m in roles_of([(p["key"], p["value"]) for p in row])] for row in pairs.to_pylist()]
+    out = [None if row is None else [{"pos": i, "role": r, "m": list(m.items()), "alt": list(alt.items()) or None} for i, r, m, alt in roles_of([(p["key"], p["value"]) for p in row])] for row in pairs.to_pylist()]
     return pa.array(out, _ROLE)
 
 
@@ -172,7 +213,7 @@ def events(df: DataFrame, pairs: str = "pairs", venue: str | None = None) -> Dat
     keep = [c for c in df.columns if c != pairs]
     rows = df.withColumn("_roles", _roles(F.col(pairs))).select(*keep, F.inline("_roles"))
     m = F.col("m")
-    shared = _shared(m, venue)
+    shared = _shared(m, F.col("alt"), venue)
     event = F.when(F.col("role") == "entry", _entry(m)).when(F.col("role") == "execution", _execution(m)).otherwise(_order(m))
     rows = rows.withColumns({"unix": instant(m), **shared, "_event": event}).withColumn("unix_hour", V.hour_of(F.col("unix")))
     return rows.select(*keep, "pos", "unix", "unix_hour", *shared, "_event.*")
