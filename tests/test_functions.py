@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tidelog.functions import classify, codes, ident, tags
 from tidelog.functions import values as V
 from tidelog.operators import events as E
-from tidelog.plans.jobs import Job
+from tidelog.plans.jobs import Job, market_events
 from tidelog.shapes import DoesNotFit, Shape, cast_onto, class_of, merged, shape_of
 from tidelog.sources import dictionary, logs
 from tidelog.sources.locations import Location
@@ -210,3 +210,14 @@ def test_alternative_identifiers(spark):
     }
     named = [("11", "e"), ("NoSecurityAltID[1].SecurityAltID", "B"), ("NoSecurityAltID[1].SecurityAltIDSource", "1"), ("NoSecurityAltID[0].SecurityAltID", "A"), ("NoSecurityAltID[0].SecurityAltIDSource", "4")]
     assert list(E.alternatives(named).items()) == [("ISIN", "A"), ("CUSIP", "B")]
+
+
+def test_instrument_identities(spark):
+    """Registered identifier, ISIN, exchange and symbol, nothing: in this order."""
+    said = {
+        "own": ("48=AAPL.O|22=5|55=S|207=X", ("id", "5", "AAPL.O")), "other": ("48=MSFT.O|22=5", ("id", "5", "MSFT.O")), "is": ("48=US1|22=4|55=S", ("id", "4", "US1")), "alt": ("55=S|454=2|455=C|456=1|455=US1|456=4", ("id", "4", "US1")),
+        "bare": ("48=AAPL.O|55=S|207=X", ("symbol", "X", "S")), "symbol": ("55=S", ("symbol", "", "S")), "none": ("22=4", None),
+    }
+    df = spark.createDataFrame([(f"8=FIX.4.4|35=D|11={k}|{m}|54=1|38=1|10=1",) for k, (m, _) in said.items()], "message string")
+    got = {r.client_order_id: r.instrument_hash for r in market_events(df).collect()}
+    assert got == {k: ident.hash_of(*key) if key else 0 for k, (_, key) in said.items()}

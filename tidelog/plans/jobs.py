@@ -7,7 +7,7 @@ import time
 from dataclasses import dataclass, field
 from typing import ClassVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import tables
@@ -93,6 +93,16 @@ class ParseLogs(Job, kind="parse_logs"):
         return report
 
 
+def instrument_hash(i: Column) -> Column:
+    """The identity of an instrument by the strongest key it has: identifier and its scheme, ISIN, exchange and symbol; 0 if it has none."""
+    some = lambda name: F.nullif(i[name], F.lit(""))
+    registered = some("security_id").isNotNull() & some("security_id_source").isNotNull()
+    key = F.when(registered, F.struct(F.lit("id").alias("by"), i["security_id_source"].alias("scope"), i["security_id"].alias("name")))
+    key = key.when(some("isin_code").isNotNull(), F.struct(F.lit("id").alias("by"), F.lit("4").alias("scope"), i["isin_code"].alias("name")))
+    key = key.when(some("symbol").isNotNull(), F.struct(F.lit("symbol").alias("by"), F.coalesce(i["exchange"], F.lit("")).alias("scope"), i["symbol"].alias("name")))
+    return F.when(key.isNull(), ident.NIL).otherwise(ident.ident(key["by"], key["scope"], key["name"], kinds=("string", "string", "string"))).cast("long")
+
+
 def market_events(df: DataFrame, message: str = "message", venue: str | None = None, recorded: str | None = "unix") -> DataFrame:
     """The market events of messages, identified: ``df`` has ``message`` and perhaps the instant it was ``recorded``."""
     proto = classify.protocol(F.col(message))
@@ -100,7 +110,7 @@ def market_events(df: DataFrame, message: str = "message", venue: str | None = N
     spoken = spoken.select("_id", F.col(message).alias("_m"), "_p", *([F.col(recorded).alias("_at")] if recorded and recorded in df.columns else [F.lit(None).cast("long").alias("_at")]))
     paired = tags.parse(spoken, "_m", "_raw", F.col("_p") == "UL").withColumn("pairs", tags.from_pairs(F.col("_raw"))).select("_id", "_at", "pairs")
     rows = E.events(paired.withColumnsRenamed({"_id": "source_id", "_at": "recorded"}), "pairs", venue)
-    inst = rows.withColumn("instrument_hash", ident.ident("symbol", F.coalesce(F.col("instrument.exchange"), F.lit("")), F.col("symbol"), kinds=("string", "string", "string")))
+    inst = rows.withColumn("instrument_hash", instrument_hash(F.col("instrument")))
     own = F.coalesce("order_id", "prev_client_order_id", "client_order_id")
     life = F.when(F.col("etype") == 110, own).otherwise(F.coalesce("exec_id", "trade_id"))
     named = F.when(F.col("etype") == 110, "Order").otherwise("Execution")
