@@ -81,3 +81,14 @@ def test_long_and_empty(spark):
     assert sorted((r.pos, r.value) for r in got if r.row_id == 3) == [(0, "a"), (1, "b"), (2, "c")]
     with pytest.raises(ValueError):
         m.unpacked(spark.createDataFrame(rows, "row_id long, field string, item_no int, text string"), map(str, range(m.DICTIONARY + 1)))
+
+
+def test_no_automaton_no_result():
+    """Where the automaton's library is missing the module can't be loaded, rather than leave it out."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import sys; sys.modules['ahocorasick'] = None; import tidelog.operators.multivalue"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True)
+    assert done.returncode and "ahocorasick" in done.stderr

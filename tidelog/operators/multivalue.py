@@ -2,8 +2,8 @@
 
 A field is covered by pieces from left to right: known whole values found by a multi-pattern automaton, quoted values, bare runs,
 and separators. Dynamic programming picks the cover; a piece inside quotes or inside a known value never splits. The
-dictionary only guides: a value that isn't in it is cut by the same grammar, so results don't depend on it. Each
-distinct field text is cut once per task.
+dictionary only guides: a known value counts where it is the whole quotation or bare run the grammar finds there, so automaton and
+cover cannot change a row. Each distinct field text is cut once per task.
 """
 
 from __future__ import annotations
@@ -11,15 +11,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-try:
-    import ahocorasick
-except ImportError:  # the automaton is only a guide
-    ahocorasick = None
-
 #: Known whole values a dictionary may have.
 DICTIONARY = 10_000
 
@@ -39,7 +35,7 @@ class Segmenter:
     def __init__(self, known: Iterable[str] = ()):
         self.known = [k for k in known if k]
         self.automaton = None
-        if ahocorasick is not None and self.known:
+        if self.known:
             self.automaton = ahocorasick.Automaton()
             for k in self.known:
                 self.automaton.add_word(k, k)
