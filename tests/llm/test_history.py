@@ -183,3 +183,12 @@ def test_rows_looked_up():
     rows = H.Rows(forms, list(range(len(forms))))
     got = {j for j, f in enumerate(forms) if any(H._same_row(forms[i], f) for i in rows.like(f, j))}
     assert got == {j for i, j in itertools.combinations(range(len(forms)), 2) if H._same_row(forms[i], forms[j])} and got
+
+
+@pytest.mark.parametrize("a, same", [("feed t0-135157 ", True), ("feed t0-135157", True), ("feed t0-135157 op", True), ("feed t0-1351", False), ("feed ", False), ("feed t0-1�5157 o", False), ("feed t0-135157 �p", True), ("feed t0-135158 ", False)])
+def test_ended_before_the_middle(spark, a, same):
+    """A beginning counts whatever its share, if it holds an identifier or number that is whole."""
+    b = "feed t0-135157 opened at 764 quotes per second by the throttle window"
+    assert H.same_line(a, b) is same and H.same_line(b, a) is same
+    rows = [(1, 1, 1, "d", "t", b), (2, 2, 2, "d", "t", a)]
+    assert found(spark, rows) == plain_log(rows)

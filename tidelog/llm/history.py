@@ -335,11 +335,16 @@ def line_form(message: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(flat, r" +", " "), r" #", "#"))
 
 
+#: An identifier or number that is legible and goes on no further.
+_NAMED = re.compile(r"(?<![\w.:/#\-�])[\w.:/#\-]*\d[\w.:/#\-]*(?=[^\w.:/#\-�])")
+
+
 def same_line(a: str, b: str) -> bool:
-    """Two line forms are one line: equal as far as both go, but for illegible characters; at least half of the longer one is left of the shorter."""
+    """Two line forms are one line: equal as far as both go, but for illegible characters; the shorter has a whole identifier or number, or
+    at least half of the longer."""
     if len(a) > len(b):
         a, b = b, a
-    if 2 * len(a) < len(b):
+    if 2 * len(a) < len(b) and not _NAMED.search(a + b[len(a)]):
         return False
     if b.startswith(a):
         return True
