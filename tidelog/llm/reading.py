@@ -12,6 +12,7 @@ from __future__ import annotations
 import pickle
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -122,14 +123,16 @@ class Model:
 
     def __init__(self, words: dict[str, int], word: np.ndarray, gram: np.ndarray, shape: np.ndarray, top: np.ndarray | None = None):
         self.words, self.word, self.gram, self.shape, self.top = words, word, gram, shape, top
-        self.extra: list[np.ndarray] = []
+        self.scored, self.known = word, len(word)  # room for words met on the way, and how much of it is taken
 
     def _vectors(self, words: dict[str, int]) -> np.ndarray:
-        known = len(self.word) + len(self.extra)
-        if len(words) > known:
-            for w in list(words)[known:]:
-                self.extra.append(self.gram[_grams(w)].mean(0))
-        return np.concatenate([self.word, np.array(self.extra).reshape(-1, LEVELS)]) if self.extra else self.word
+        if len(words) > len(self.scored):
+            self.scored = np.concatenate([self.scored, np.zeros((len(words), LEVELS))])
+        if len(words) > self.known:
+            for i, w in enumerate(islice(words, self.known, None), self.known):
+                self.scored[i] = self.gram[_grams(w)].mean(0)
+            self.known = len(words)
+        return self.scored
 
     def distributions(self, batch: Batch, words: dict[str, int]) -> np.ndarray:
         if not len(batch.starts):
@@ -142,8 +145,8 @@ class Model:
         batch = Batch(texts, self.words)
         out = _softmax(document_figures(batch, self.distributions(batch, self.words)) @ self.top)
         if len(self.words) > VOCABULARY:  # forget the words met on the way, not those learnt
-            self.words = dict(list(self.words.items())[: len(self.word)])
-            self.extra = []
+            self.words = dict(islice(self.words.items(), len(self.word)))
+            self.scored, self.known = self.word, len(self.word)
         return settle(out)
 
 
@@ -252,16 +255,18 @@ def trained(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> bytes:
     """A pickled :class:`Model` from the texts and labels of at most ``limit`` documents, fitted in one task. Labels outside 1 to 4,
     of documents not there, or of blank texts don't count."""
     said = labels.where(F.col("level").between(1, LEVELS)).groupBy("doc_id").agg(F.collect_list("level").alias("said"))
-    picked = said.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rows = docs.where(~_blank("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "said")
+    picked = F.broadcast(said.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+    # the corpus is read where it lies; only one text of each picked document travels to the task that fits
+    texts = docs.join(picked.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.when(~_blank("text"), F.col("text"))).alias("text"))
+    rows = texts.where(F.col("text").isNotNull()).join(picked, "doc_id").select("doc_id", "text", "said")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = [b for b in batches if b.num_rows]
-        frame = pa.Table.from_batches(t).to_pandas().drop_duplicates("doc_id").sort_values("doc_id") if t else None
+        frame = pa.Table.from_batches(t).to_pandas().sort_values("doc_id") if t else None
         model = fit(frame["text"].tolist(), [sorted(map(int, x)) for x in frame["said"]]) if frame is not None else None
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    made = rows.coalesce(1).mapInArrow(learn, "model binary").first()
+    made = rows.repartition(1).mapInArrow(learn, "model binary").first()
     return bytes(made[0]) if made else pickle.dumps(None)  # no rows at all: no task ran
 
 
