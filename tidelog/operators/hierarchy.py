@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tidelog.runtime import settled
 
-#: Nodes that one task contracts at a time; a forest of at most so many is solved in one task.
-TASK_NODES = 500_000
+#: Nodes that one task contracts: as many as spread a level over all cores, within these bounds. A forest of at most the lower bound is solved in one task.
+TASK_NODES = 25_000, 500_000
 
 NONE = np.iinfo(np.int64).max
 
@@ -89,10 +89,16 @@ def _stars(forest: DataFrame) -> DataFrame:
     )
 
 
-def _solved(forest: DataFrame, nodes: int, level: int, stars: bool, task_nodes: int) -> DataFrame:
+def _tasks(nodes: int, cores: int, bounds: tuple[int, int]) -> int:
+    """How many tasks contract a level of so many nodes."""
+    return -(-nodes // min(max(-(-nodes // (2 * cores)), bounds[0]), bounds[1]))
+
+
+def _solved(forest: DataFrame, nodes: int, level: int, stars: bool, bounds: tuple[int, int]) -> DataFrame:
     """``node, root, depth, ring`` of ``forest`` (``place, node, parent, weight, least, ring``). At level 0 a parent that is no
     node is none; above, it is a root that was settled below."""
-    if nodes <= task_nodes:
+    tasks = _tasks(nodes, forest.sparkSession.sparkContext.defaultParallelism, bounds)
+    if tasks <= 1:
         local = forest.coalesce(1).mapInArrow(_contract, _LOCAL)
         if level == 0:
             return local.select("node", F.when(F.col("ring").isNull(), F.col("exit")).alias("root"), F.when(F.col("ring").isNull(), F.col("dist")).alias("depth"), "ring")
@@ -103,7 +109,7 @@ def _solved(forest: DataFrame, nodes: int, level: int, stars: bool, task_nodes:
     if stars:
         local = settled(_stars(forest), "stars")
     else:
-        local = settled(forest.repartitionByRange(-(-nodes // task_nodes), "place", "node").mapInArrow(_contract, _LOCAL), "contracted")
+        local = settled(forest.repartitionByRange(tasks, "place", "node").mapInArrow(_contract, _LOCAL), "contracted")
     exits = local.where((F.col("node") == F.col("exit")) & F.col("ring").isNull() & F.col("up").isNotNull()).select("node", "up", "up_dist", "up_low")
     onto = local.select(F.col("node").alias("up"), F.col("exit").alias("onto"), F.col("dist").alias("on"), F.col("low").alias("on_low"), F.col("ring").alias("above"))
     raised = exits.join(onto, "up", "inner" if level == 0 else "left")
@@ -117,7 +123,7 @@ def _solved(forest: DataFrame, nodes: int, level: int, stars: bool, task_nodes:
     open_ = upper.where("root is null").drop("root")
     left = open_.count()
     nothing = F.lit(None).cast("long")
-    answers = _solved(open_, left, level + 1, left > nodes * 8 // 10 and not stars, task_nodes)
+    answers = _solved(open_, left, level + 1, left > nodes * 8 // 10 and not stars, bounds)
     known = upper.where("root is not null").select("node", "root", F.col("weight").alias("depth"), nothing.alias("ring"))
     if level > 0:  # what is a root above may be one that hangs on a root settled further below
         below = known.select(F.col("node").alias("root"), F.col("root").alias("below"), F.col("depth").alias("more"))
@@ -133,19 +139,19 @@ def _solved(forest: DataFrame, nodes: int, level: int, stars: bool, task_nodes:
     )
 
 
-def depths(links: DataFrame, place: str | None = None, task_nodes: int = TASK_NODES) -> DataFrame:
+def depths(links: DataFrame, place: str | None = None, task_nodes: int | tuple[int, int] = TASK_NODES) -> DataFrame:
     """``node, root, depth, ring`` for each node of ``links`` (``node, parent`` of type long, one row per node).
 
     A null parent, or one that is no node, makes a root (its own root, depth 0). A node in a circle or below one has null
     root and depth and, as ``ring``, the smallest node of that circle. ``place`` names a column by which related nodes lie
-    together; it changes only the speed. Rows with a null node give nothing.
+    together; it changes only the speed. ``task_nodes``: nodes to a task, or the least and the most. Rows with a null node give nothing.
     """
     nothing = F.lit(None).cast("long")
     forest = links.where(F.col("node").isNotNull()).select(
         F.col(place or "node").alias("place"), "node", "parent", F.lit(1).cast("long").alias("weight"), F.col("node").alias("least"), nothing.alias("ring")
     )
     forest = settled(forest, "forest")
-    return _solved(forest, forest.count(), 0, False, task_nodes)
+    return _solved(forest, forest.count(), 0, False, (task_nodes, task_nodes) if isinstance(task_nodes, int) else task_nodes)
 
 
 def ancestry(links: DataFrame, solved: DataFrame) -> DataFrame:
