@@ -69,6 +69,26 @@ def test_edges(text, want):
     assert m.Segmenter().values(text) == want
 
 
+@pytest.mark.parametrize(
+    "known, text, want",
+    [(["a,b"], "x;a,b;c", ["x", "a,b", "c"]), ([], "x;a,b;c", ["x", "a", "b", "c"]), (["a,b"], "xa,b;a,bc", ["xa", "b", "a", "bc"]), (["Smith, Kline & Co"], "Smith, Kline & Co / Smith", ["Smith, Kline & Co", "Smith"]),
+     (["a,b", "b,c", "c,d"], "a,b,c,d", ["a,b", "c,d"]), (["a,b", "a,b,c"], "a,b,c", ["a,b,c"]), (["x, y"], '"x, y"', ["x, y"]), (["b c"], "a b c d", ["a", "b c", "d"]), (["'a"], "'a", ["'a"])],
+)
+def test_dictionary_decides(spark, known, text, want):
+    """Known values are kept whole though the grammar would cut them; of overlapping ones the cheapest cover counts."""
+    assert m.Segmenter(known).values(text) == want
+    fields = spark.createDataFrame([(1, "keyval", 0, text)], "row_id long, field string, item_no int, text string")
+    assert [r.value for r in m.unpacked(fields, known).orderBy("pos").collect()] == want
+
+
+def test_braces_never_closed():
+    import time
+
+    began = time.time()
+    assert list(m.braces("{" * 50_000 + "'" + "{ " * 50_000)) == [] and list(m.braces("{'}' {'a}'} {")) == ["'}' {'a}'"]
+    assert time.time() - began < 5
+
+
 def test_braces():
     assert list(m.braces("x {a '}' b} y {c} {")) == ["a '}' b", "c"]
 

@@ -1,9 +1,9 @@
 """Fields that pack several values into rows of one value each, with their positions kept.
 
 A field is covered by pieces from left to right: known whole values found by a multi-pattern automaton, quoted values, bare runs,
-and separators. Dynamic programming picks the cover; a piece inside quotes or inside a known value never splits. The
-dictionary only guides: a known value counts where it is the whole quotation or bare run the grammar finds there, so automaton and
-cover cannot change a row. Each distinct field text is cut once per task.
+and separators. Dynamic programming picks the cheapest cover: a known value, whatever delimiters it holds, costs less than the pieces
+the grammar would make of it, and of known values that overlap those win that leave least to the grammar. A piece inside quotes or
+inside a known value never splits. Each distinct field text is cut once per task.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ def _plain(text: str, i: int) -> bool:
 
 
 class Segmenter:
-    """Cuts fields. ``known`` are whole values as printed, quotes included where they have them."""
+    """Cuts fields. ``known`` are whole values as printed, quotes included where they have them. A known value counts where it stands
+    alone: at an end of the field, or beside what is neither part of a bare value nor a quote."""
 
     def __init__(self, known: Iterable[str] = ()):
         self.known = [k for k in known if k]
@@ -71,11 +72,14 @@ class Segmenter:
         if self.automaton is not None:
             for end, k in self.automaton.iter(text):
                 i, j = end - len(k) + 1, end + 1
-                # whole: the quotation found there, or a run that bare neighbours don't make longer
-                if quoted.get(i) == j or out[i] and out[i][0] == (j, "bare"):
+                if quoted.get(i) == j or not (i and self._joins(text, i - 1)) and not (j < n and self._joins(text, j)):
                     out[i].append((j, "known"))
         return out
 
+    @staticmethod
+    def _joins(text: str, i: int) -> bool:
+        return _plain(text, i) or text[i] in "\"'"
+
     def cover(self, text: str) -> list[tuple[int, int, str]]:
         """The cheapest cover; among equals the one with the longer first piece."""
         pieces, n = self._pieces(text), len(text)
@@ -113,7 +117,7 @@ class Segmenter:
                 slot, blank = None, False
             else:
                 value = text[i:j]
-                if text[i] in "\"'" and kind in ("known", "quoted"):
+                if text[i] in "\"'" and (kind == "quoted" or kind == "known" and _QUOTED.fullmatch(value)):
                     value = value[1:-1].replace(text[i] * 2, text[i])
                 if slot is not None:  # blanks, or nothing, between two values
                     out.append(slot)
@@ -127,12 +131,15 @@ class Segmenter:
 def braces(message: str) -> Iterator[str]:
     """What stands between braces, in order; a brace inside quotes counts for nothing, one that is never closed holds nothing."""
     i = 0
+    dead: set[int] = set()  # places from which no closing brace is met
     while (i := message.find("{", i)) >= 0:
-        j = i + 1
-        while j < len(message) and message[j] != "}":
+        j, seen = i + 1, []
+        while j < len(message) and message[j] != "}" and j not in dead:
+            seen.append(j)
             m = _QUOTED.match(message, j) if message[j] in "\"'" else None
             j = m.end() if m else j + 1
-        if j >= len(message):
+        if j >= len(message) or message[j] != "}":
+            dead.update(seen)
             i += 1
             continue
         yield message[i + 1 : j]
@@ -140,7 +147,8 @@ def braces(message: str) -> Iterator[str]:
 
 
 def quoted_values(fields: DataFrame, limit: int = DICTIONARY) -> list[str]:
-    """The distinct quotations in ``fields`` (``text``) that come more than once, the ``limit`` commonest: a dictionary to guide by."""
+    """The distinct quotations in ``fields`` (``text``) that come more than once, of at most 200 characters, the ``limit`` commonest. What stands in
+    quotes is one value to the grammar as well, so a quotation that is not among these is cut alike."""
     found = fields.select(F.explode(F.regexp_extract_all("text", F.lit("(\"(?:[^\"]|\"\")*\"|'(?:[^']|'')*')"), F.lit(1))).alias("q"))
     top = found.groupBy("q").count().where("count > 1 and length(q) <= 200").orderBy(F.desc("count"), "q").limit(limit)
     return [r["q"] for r in top.collect()]
@@ -158,7 +166,8 @@ def packed_fields(log: DataFrame, tags: tuple[int, ...] = (18, 276, 277), suffix
 
 
 def unpacked(fields: DataFrame, known: Iterable[str] = ()) -> DataFrame:
-    """``row_id, field, item_no, pos, value`` of ``fields`` (``row_id, field, item_no, text``).
+    """``row_id, field, item_no, pos, value`` of ``fields`` (``row_id, field, item_no, text``). A value of ``known`` (at most ``DICTIONARY``) is
+    one value wherever it stands alone, whatever it holds.
 
     Bare values are letters, digits and ``. _ : -``; a quoted value may hold anything, a doubled quote meaning one, and loses its
     quotes; all else separates. Blanks around a separator are part of it, two bars side by side are one, blanks at either end mean
