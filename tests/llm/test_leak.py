@@ -63,7 +63,21 @@ def test_exchanged(spark):
         (1, item), (2, item.replace("7311", "50").replace("Sogasoth", "Anna")), (3, item.replace("7311", "50", 1)), (4, item.replace("lots", "units")), (5, item.replace("Kireper", "Sogasoth")), (6, item.replace("back", "home")),
     ]
     d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(10, item)], "item_id long, text string")
-    assert pairs(L.leaks(d, i, run=18, exchanged=True)) == {(2, 10)}
-    assert pairs(L.leaks(d, i, run=18)) == {(1, 10)}
-    with pytest.raises(ValueError):
-        L.leaks(d, i, exchanged=True, windows=1)
+    for windows in (L.WINDOWS, 1):
+        assert pairs(L.leaks(d, i, run=18, exchanged=True, windows=windows)) == {(2, 10)}
+        assert pairs(L.leaks(d, i, run=18, windows=windows)) == {(1, 10)}
+
+
+def test_exchanged_whatever_the_filter(spark):
+    docs, items = scan(spark, "/root/testdata/sf0.01", "documents"), scan(spark, "/root/testdata/sf0.01", "eval_items")
+    many, few = (pairs(L.leaks(docs, items, exchanged=True, windows=w)) for w in (L.WINDOWS, 1))
+    assert many == few and many
+
+
+def test_crowded_lexicon(spark, monkeypatch):
+    """Words that share their bits make templates coarser, not results."""
+    docs, items = scan(spark, "/root/testdata/sf0.01", "documents"), scan(spark, "/root/testdata/sf0.01", "eval_items")
+    want = pairs(L.leaks(docs, items))
+    small = L.lexicon_of
+    monkeypatch.setattr(L, "lexicon_of", lambda items: small(items, 1 << 6))
+    assert pairs(L.leaks(docs, items)) == want

@@ -1,9 +1,13 @@
 """Test items that stand in the corpus, as they are or with other numbers and names.
 
-Item texts become templates: numbers, the units behind them, and names are replaced by typed placeholders. Windows of
-``RUN`` template words of items and documents are joined by hash; then the slots behind the placeholders are compared: all equal
-is a leak, a consistent exchange (each value always for the same other) is a re-parameterised question. Words are runs of
-letters and digits of the case-folded compatibility form without format characters.
+Texts become templates: numbers, the units behind them, and names are replaced by typed placeholders, by a lexicon made of all
+items. Windows of ``RUN`` template words of items and documents are joined by hash, whatever the number of items; then words and the
+slots behind the placeholders are compared: all equal is a leak, a consistent exchange (each value always for the same other) is a
+re-parameterised question. Words are runs of letters and digits of the case-folded compatibility form without format characters.
+
+What is broadcast has a fixed size: the lexicon as bitmaps over word hashes, and a filter over the hashes of the items' windows that
+keeps windows no item has from travelling. Bits that words share make a template coarser, on both sides alike: it joins
+more, and the words decide.
 """
 
 from __future__ import annotations
@@ -15,16 +19,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.runtime import settled
+
 RUN = 12
-#: Item windows that are broadcast at most; more are joined by shuffle.
+#: Item windows that the filter is made for, at 32 bits each (8 MB). More of them let more windows of documents through to the join, nothing else.
 WINDOWS = 2_000_000
+#: Bits of each plane of the lexicon (2 MB).
+LEXICON = 1 << 24
+#: Words whose templates a task remembers before it begins anew.
+REMEMBERED = 200_000
 
 _WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 NUMBER, UNIT, NAME = 1, 2, 3  # the placeholders
+_PLANES = KNOWN, MEASURE, UPPER, LOWER = range(4)  # of the lexicon: in any item, behind a number, capitalised within a sentence, not capitalised
+_BUCKET = 1 << 15  # bits that a row of a bitmap has
 
 
 def _format_free(text: str) -> str:
@@ -45,190 +57,182 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(normal(text))
 
 
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word) >> 1
+
+
+def lexicon_entries(text: str) -> set[tuple[int, str]]:
+    """The planes that a text puts its words in."""
+    words = words_of(text)
+    out = {(KNOWN, w) for w in words}
+    out |= {(MEASURE, b) for a, b in zip(words, words[1:]) if a.isdigit() and b.isalpha()}
+    raw = _format_free(text)
+    for m in re.finditer(r"[^\W_]+", raw):
+        w = normal(m[0])
+        if not w or not w[0].isalpha():
+            continue
+        begins = re.search(r"(?:\A|[.!?:]\s*[\"'(]*)\s*\Z", raw[max(0, m.start() - 8) : m.start()]) is not None
+        if not m[0][:1].isupper():
+            out.add((LOWER, w))
+        elif not begins:
+            out.add((UPPER, w))
+    return out
+
+
+class Bits:
+    """A bitmap of a fixed number of bits."""
+
+    def __init__(self, size: int):
+        self.size, self.data = size, np.zeros(max(size, _BUCKET) // 8, np.uint8)
+
+    @classmethod
+    def gathered(cls, cells: DataFrame, size: int) -> dict[int, "Bits"]:
+        """A bitmap for each ``plane`` of ``cells`` (``plane, cell``), put together by Spark in rows of ``_BUCKET`` bits; at most ``size`` bits a plane come here."""
+        rows = cells.groupBy("plane", F.expr(f"cell div {_BUCKET}").alias("bucket")).agg(F.bitmap_construct_agg(F.col("cell") % _BUCKET).alias("bits"))
+        out: dict[int, Bits] = {}
+        for r in rows.collect():
+            at = r["bucket"] * _BUCKET // 8
+            out.setdefault(r["plane"], cls(size)).data[at : at + _BUCKET // 8] = np.frombuffer(r["bits"], np.uint8)
+        return out
+
+    def has(self, cell: int) -> bool:
+        return bool(self.data[cell >> 3] >> (cell & 7) & 1)
+
+    def all_of(self, cells: np.ndarray) -> np.ndarray:
+        return (self.data[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 class Lexicon:
-    """The words of the items, numbered, and the placeholder of each: numbers; units, which stand behind numbers; names, which are
-    capitalised where no sentence begins. A word the items don't have is 0."""
-
-    def __init__(self, texts: list[str]):
-        self.number: dict[str, int] = {}
-        units, names, plain = set(), set(), set()
-        for t in texts:
-            ws = words_of(t)
-            for w in ws:
-                self.number.setdefault(w, len(self.number) + 1)
-            units |= {b for a, b in zip(ws, ws[1:]) if a.isdigit() and b.isalpha()}
-            raw = _format_free(t)
-            for m in re.finditer(r"[^\W_]+", raw):
-                w = normal(m[0])
-                if not w or not w[0].isalpha():
-                    continue
-                begins = re.search(r"(?:\A|[.!?:]\s*[\"'(]*)\s*\Z", raw[max(0, m.start() - 8) : m.start()]) is not None
-                if m[0][:1].isupper():
-                    if not begins:
-                        names.add(w)
-                else:
-                    plain.add(w)
-        self.template = np.zeros(len(self.number) + 1, np.int64)
-        for w, i in self.number.items():
-            self.template[i] = NUMBER if w.isdigit() else NAME if w in names - plain else UNIT if w in units else i + 3
-
-
-def _hashes(template: np.ndarray, starts: np.ndarray, run: int) -> np.ndarray:
+    """Templates of words by the planes of all items."""
+
+    def __init__(self, planes: dict[int, Bits]):
+        self.planes = {p: planes.get(p) or Bits(_BUCKET) for p in _PLANES}
+        self.seen: dict[str, int] = {}
+
+    def _in(self, plane: int, h: int) -> bool:
+        return self.planes[plane].has(h % self.planes[plane].size)
+
+    def template(self, word: str) -> int:
+        """The placeholder of a word of the items, or the word's own number; 0 if no item has it."""
+        t = self.seen.get(word)
+        if t is None:
+            h = _hash(word)
+            if not self._in(KNOWN, h):
+                t = 0
+            elif word.isdigit():
+                t = NUMBER
+            elif self._in(UPPER, h) and not self._in(LOWER, h):
+                t = NAME
+            else:
+                t = UNIT if self._in(MEASURE, h) else h | 4
+            if len(self.seen) >= REMEMBERED:
+                self.seen.clear()
+            self.seen[word] = t
+        return t
+
+    def read(self, text: str, free: bool = False) -> tuple[list[str], list[int]]:
+        """The words of a text and their templates. ``free``: words the items don't have may fill slots (numbers, capitalised words)."""
+        get, template = self.seen.get, self.template
+        if not free:
+            words = words_of(text)
+            return words, [get(w) or template(w) for w in words]
+        words, templates = [], []
+        for m in _WORD.finditer(unicodedata.normalize("NFKC", _format_free(text))):
+            w = normal(m[0])
+            words.append(w)
+            templates.append(template(w) or (NUMBER if w.isdigit() else NAME if m[0][:1].isupper() else 0))
+        return words, templates
+
+
+def _windows(template: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows of which every word has a template."""
+    if len(template) < run:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    bad = np.concatenate([[0], np.cumsum(template == 0)])
+    starts = np.flatnonzero(bad[run:] == bad[:-run])
     h = np.zeros(len(starts), np.uint64)
     for k in range(run):
         h = h * _MULTIPLIER + template[starts + k].astype(np.uint64)
         h ^= h >> np.uint64(29)
-    return h
-
-
-def _inner(known: np.ndarray, run: int) -> np.ndarray:
-    """Starts of the windows of which all words are ``known``."""
-    if len(known) < run:
-        return np.zeros(0, np.int64)
-    bad = np.concatenate([[0], np.cumsum(~known)])
-    return np.flatnonzero(bad[run:] == bad[:-run])
-
-
-class ItemWindows:
-    """The windows of all items, by the hash of their template."""
-
-    def __init__(self, items: list[tuple[int, str]], run: int = RUN):
-        self.run = run
-        self.lexicon = Lexicon([t for _, t in items])
-        words, owner = [], []
-        for item, t in items:
-            ws = words_of(t)
-            words += [*(self.lexicon.number[w] for w in ws), 0]
-            owner += [item] * (len(ws) + 1)
-        self.words, self.owner = np.array(words, np.int64), np.array(owner, np.int64)
-        starts = _inner(self.words > 0, run)
-        h = _hashes(self.lexicon.template[self.words], starts, run) if len(starts) else np.zeros(0, np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hash, self.start = h[order], starts[order]
-
-    def numbers(self, text: str, free: bool = False) -> tuple[list[int], list[int]]:
-        """Word numbers and template words of a document. ``free``: words the items don't have may fill slots (numbers, capitalised words)."""
-        number = self.lexicon.number
-        if not free:
-            ids = [number.get(w, 0) for w in words_of(text)]
-            return ids, self.lexicon.template[ids].tolist() if ids else []
-        ids, template = [], []
-        for m in _WORD.finditer(unicodedata.normalize("NFKC", _format_free(text))):
-            w = normal(m[0])
-            i = number.get(w)
-            if i is not None:
-                ids.append(i), template.append(int(self.lexicon.template[i]))
-            else:
-                ids.append(-1 - xxhash.xxh64_intdigest(w) % (1 << 62))
-                template.append(NUMBER if w.isdigit() else NAME if m[0][:1].isupper() else 0)
-        return ids, template
-
-    def matches(self, ids: np.ndarray, template: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of window starts, in ``ids`` and in the items' words, with equal templates."""
-        starts = _inner(template > 0, self.run)
-        if not len(starts) or not len(self.hash):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        h = _hashes(template, starts, self.run)
-        lo = np.searchsorted(self.hash, h, "left")
-        n = np.searchsorted(self.hash, h, "right") - lo
-        ours = np.repeat(starts, n)
-        theirs = self.start[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
-        return ours, theirs
-
-
-def _equal(w: ItemWindows, ids: np.ndarray, template: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> np.ndarray:
-    same = np.ones(len(ours), bool)
-    for k in range(w.run):
-        same &= ids[ours + k] == w.words[theirs + k]
-    return same
-
-
-def _exchanged(w: ItemWindows, ids: np.ndarray, template: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> np.ndarray:
-    """Equal but for slots, which are exchanged one to one, at least one of them."""
-    out = np.zeros(len(ours), bool)
-    for x, (a, b) in enumerate(zip(ours.tolist(), theirs.tolist())):
-        there, back, ok, moved = {}, {}, True, False
-        for k in range(w.run):
-            p, q, t = int(ids[a + k]), int(w.words[b + k]), int(template[a + k])
-            if t > NAME or t == UNIT:
-                ok = p == q
-            else:
-                ok = there.setdefault((t, q), p) == p and back.setdefault((t, p), q) == q
-                moved |= p != q
-            if not ok:
-                break
-        out[x] = ok and moved
-    return out
+    return starts, h
 
 
-def _broadcast_leaks(docs: DataFrame, items: list[tuple[int, str]], run: int, exchanged: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(ItemWindows(items, run))
+def _probes(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two cells of a filter of ``size`` bits that stand for a hash."""
+    return h % np.uint64(size), (h * _MULTIPLIER >> np.uint64(17)) % np.uint64(size)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
-        slots = _exchanged if exchanged else _equal
-        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-            ids, template, doc = [], [], []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t:
-                    i, m = w.numbers(t, exchanged)
-                    ids += i
-                    template += m
-                    ids.append(0), template.append(0)
-                    doc += [(len(ids), d)]
-            if not ids:
-                continue
-            ids, template = np.array(ids, np.int64), np.array(template, np.int64)
-            ours, theirs = w.matches(ids, template)
-            good = slots(w, ids, template, ours, theirs)
-            ends, names = np.array([e for e, _ in doc]), np.array([d for _, d in doc])
-            pairs = np.unique(np.stack([names[np.searchsorted(ends, ours[good], "right")], w.owner[theirs[good]]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["doc_id", "item_id"])
-
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).mapInArrow(find, "doc_id long, item_id long").distinct()
-
-
-def _windows(df: DataFrame, key: str, run: int) -> DataFrame:
-    """``key, t, w``: of each window, once per text, the hash of its template (numbers only: without all items at hand there are no names) and of its words."""
+
+def _cut(df: DataFrame, key: str, run: int, lexicon, free: bool, only=None) -> DataFrame:
+    """``t, <key>, w, kinds``: of each window of the texts, once a batch, the hash of its template, its words and their placeholders (0 for a word
+    that stands for itself). ``lexicon`` and ``only`` are broadcast; ``only`` is a filter on the hashes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, tuple[int, int]] = {}
-        for b in batches:
-            keys, ts, wsh = [], [], []
+        known = Lexicon(lexicon.value)
+        for b in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
+            words: list[str] = []
+            templates: list[int] = []
+            ends, keys = [], []
             for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                pairs = []
-                for w in words_of(text or ""):
-                    p = seen.get(w)
-                    if p is None:
-                        h = xxhash.xxh64_intdigest(w) >> 1
-                        p = (NUMBER if w.isdigit() else h, h)
-                        if len(seen) < 500_000:
-                            seen[w] = p
-                    pairs.append(p)
-                if len(pairs) < run:
-                    continue
-                a = np.array(pairs, np.int64)
-                starts = np.arange(len(a) - run + 1)
-                both = np.unique(np.stack([_hashes(a[:, j], starts, run).view(np.int64) for j in (0, 1)], 1), axis=0)
-                keys.append(np.full(len(both), k))
-                ts.append(both[:, 0]), wsh.append(both[:, 1])
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, ts, wsh)], [key, "t", "w"])
-
-    return df.select(key, "text").where(F.col("text").isNotNull()).mapInArrow(cut, f"{key} long, t long, w long")
+                ws, ts = known.read(text, free)
+                if len(ws) >= run:
+                    words += ws
+                    templates += ts
+                    words.append(""), templates.append(0)
+                    ends.append(len(words)), keys.append(k)
+            template = np.array(templates, np.int64)
+            starts, h = _windows(template, run)
+            if only is not None and len(starts):
+                first, second = _probes(h, only.value.size)
+                kept = only.value.all_of(first) & only.value.all_of(second)
+                starts, h = starts[kept], h[kept]
+            whose = np.searchsorted(np.array(ends, np.int64), starts, "right")
+            rows = {(t, keys[o], " ".join(words[s : s + run])): s for t, o, s in zip(h.view(np.int64).tolist(), whose.tolist(), starts.tolist())}
+            kinds = pa.array([[t if t <= NAME else 0 for t in templates[s : s + run]] for s in rows.values()], pa.list_(pa.int32()))
+            ts, ks, wds = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ts, pa.int64()), pa.array(ks, pa.int64()), pa.array(wds, pa.string()), kinds], ["t", key, "w", "kinds"])
+
+    return df.select(F.col(key).cast("long"), "text").where(F.col(key).isNotNull() & F.col("text").isNotNull()).mapInArrow(cut, f"t long, `{key}` long, w string, kinds array<int>")
+
+
+def lexicon_of(items: DataFrame, size: int = LEXICON) -> dict[int, Bits]:
+    """The planes of the words of ``items`` (``text``)."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = {(p, _hash(w) % size) for t in b.column(0).to_pylist() for p, w in lexicon_entries(t)}
+            yield pa.RecordBatch.from_pydict({"plane": pa.array([p for p, _ in found], pa.int32()), "cell": pa.array([c for _, c in found], pa.int64())})
+
+    return Bits.gathered(items.where(F.col("text").isNotNull()).select("text").mapInArrow(entries, "plane int, cell long"), size)
+
+
+def _exchanged(ours: Column, theirs: Column, kinds: Column) -> Column:
+    """Equal but for slots, which are exchanged one to one, at least one of them."""
+    all_ = F.arrays_zip(F.split(ours, " ").alias("p"), F.split(theirs, " ").alias("q"), kinds.alias("k"))
+    slot = lambda x: x["k"].isin(NUMBER, NAME)
+    slots = F.filter(all_, slot)
+    kinds_of = lambda *names: F.size(F.array_distinct(F.transform(slots, lambda x: F.struct(*[x[n].alias(n) for n in names]))))
+    pairs = kinds_of("k", "p", "q")
+    return F.forall(all_, lambda x: slot(x) | (x["p"] == x["q"])) & (pairs == kinds_of("k", "p")) & (pairs == kinds_of("k", "q")) & F.exists(slots, lambda x: x["p"] != x["q"])
 
 
 def leaks(docs: DataFrame, items: DataFrame, run: int = RUN, exchanged: bool = False, windows: int = WINDOWS) -> DataFrame:
     """``doc_id, item_id`` of every document and item whose texts share a run of at least ``run`` words; with ``exchanged``, share
     one but for a consistent exchange of numbers and names.
 
-    Null, empty and shorter texts share nothing; repeated rows count once. Items with at most ``windows`` words together are
-    broadcast as windows; more are joined with the documents by shuffle (only without ``exchanged``).
+    Null, empty and shorter texts share nothing, nor do rows without an id; repeated rows count once. ``windows``: item windows that the filter is
+    made for; it changes how much is joined, not the result.
     """
-    size = items.select(F.sum(F.length("text"))).first()[0] or 0  # at least two characters to a word
-    if size <= 2 * windows:
-        rows = items.where("item_id is not null and text is not null").select("item_id", "text").collect()
-        return _broadcast_leaks(docs, [(r[0], r[1]) for r in rows], run, exchanged)
-    if exchanged:
-        raise ValueError(f"items of {size} characters are too many for exchanged slots: split them")
-    return _windows(docs, "doc_id", run).join(_windows(items, "item_id", run), ["t", "w"]).select("doc_id", "item_id").distinct()
+    share = docs.sparkSession.sparkContext.broadcast
+    lexicon = share(lexicon_of(items))
+    theirs = settled(_cut(items, "item_id", run, lexicon, False).distinct(), "item-windows")
+    size = max(_BUCKET, 1 << (32 * windows - 1).bit_length())
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cell = np.unique(np.concatenate(_probes(b.column(0).to_numpy().view(np.uint64), size)))
+            yield pa.RecordBatch.from_pydict({"plane": pa.array(np.zeros(len(cell), np.int32)), "cell": pa.array(cell.astype(np.int64))})
+
+    filter_ = Bits.gathered(theirs.select("t").mapInArrow(cells, "plane int, cell long"), size).get(0) or Bits(_BUCKET)
+    ours = _cut(docs, "doc_id", run, lexicon, exchanged, share(filter_)).select("t", "doc_id", F.col("w").alias("here"))
+    met = ours.join(theirs, (ours["t"] == theirs["t"]) & (_exchanged(F.col("here"), F.col("w"), F.col("kinds")) if exchanged else ours["here"] == theirs["w"]))
+    return met.select("doc_id", "item_id").distinct()
