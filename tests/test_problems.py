@@ -3,13 +3,16 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from tidelog.operators import delivered as D
 from tidelog.operators import hierarchy as H
 from tidelog.operators import keyed as K
 from tidelog.operators import late as L
+from tidelog.sources.store import Conflict
 
 
 def test_keyed_totals(spark):
@@ -79,26 +82,82 @@ def test_message_copies(spark, seed):
 
 
 def test_runs():
+    """Batches against sorted runs, merged on the way, as against a dictionary."""
     rng = np.random.default_rng(3)
-    runs, seen = D.Runs(), {}
+    runs, seen = [], {}
     for at in range(0, 3000, 100):
         hi, lo = rng.integers(-5, 5, 100), rng.integers(0, 40, 100)
-        row = np.arange(at, at + 100)
-        rep, known = runs.add(hi, lo, row)
+        ours = D.Runs.run(hi, lo, np.arange(at, at + 100))
+        rep, known = D.Runs(runs).look_up(ours)
         before = dict(seen)
-        for h, l, r in zip(hi, lo, row):
+        for h, l, r in zip(hi.tolist(), lo.tolist(), range(at, at + 100)):
             seen.setdefault((h, l), r)
-        assert [seen[h, l] for h, l in zip(hi, lo)] == rep.tolist() and [(h, l) in before for h, l in zip(hi, lo)] == known.tolist()
-    assert len(runs.runs) < 10 and sum(map(len, runs.runs)) == len(seen)
+        ids = list(zip(ours["hi"].tolist(), ours["lo"].tolist()))
+        assert len(set(ids)) == len(ids) and [seen[x] for x in ids] == rep.tolist() and [x in before for x in ids] == known.tolist()
+        runs.append(ours[~known])
+        if len(runs) > 4:
+            runs = [D.Runs.merged(runs)]
+    assert sum(map(len, runs)) == len(seen)
+
+
+def _batch(spark, *xs):
+    return spark.createDataFrame([(h, h, r, "m") for h, r in xs], "hi long, lo long, row_id long, text string")
+
+
+def _kept(df):
+    return sorted(r.row_id for r in df.collect())
 
 
 def test_index_of_delivered(spark, tmp_path):
     index = D.DeliveredIndex(spark, f"{tmp_path}/index")
-    batch = lambda *xs: spark.createDataFrame([(h, h, r, "m") for h, r in xs], "hi long, lo long, row_id long, text string")
-    assert sorted(r.row_id for r in index.accept(batch((1, 1), (1, 2), (-9, 3), (None, 4))).collect()) == [1, 3, 4]
-    assert sorted(r.row_id for r in index.accept(batch((1, 5), (2, 6), (None, 7))).collect()) == [6, 7]
-    index.merge()
-    assert [r.row_id for r in index.accept(batch((2, 8), (-9, 9), (5, 10))).collect()] == [10]
+    assert _kept(index.accept(_batch(spark, (1, 1), (1, 2), (-9, 3), (None, 4)))) == [1, 3, 4]
+    assert _kept(index.accept(_batch(spark, (1, 5), (2, 6), (None, 7)))) == [6, 7]
+    assert index.merge(everything=True) and not index.merge()
+    assert len(index.list.vacuum()) == 2
+    assert _kept(D.DeliveredIndex(spark, f"{tmp_path}/index").accept(_batch(spark, (2, 8), (-9, 9), (5, 10)))) == [10]
+    assert index.accept(_batch(spark)).count() == 0
+
+
+@pytest.mark.parametrize("many", [D.MANY_PREFIXES, 1])
+def test_index_of_many_batches(spark, tmp_path, monkeypatch, many):
+    """Levels merge, blocks are cut anew as they grow, and only the prefixes a batch touches are read."""
+    monkeypatch.setattr(D, "BLOCK_IDS", 8)
+    monkeypatch.setattr(D, "MANY_PREFIXES", many)
+    rng = random.Random(4)
+    index, seen, at = D.DeliveredIndex(spark, f"{tmp_path}/index", bits=1), set(), 0
+    for _ in range(10):
+        ids = [rng.randint(-(2**63), 2**63 - 1) if rng.random() < 0.6 or not seen else rng.choice(sorted(seen)) for _ in range(40)]
+        ids += ids[:5]
+        want = []
+        for i, x in enumerate(ids):
+            if x not in seen:
+                want.append(at + i)
+            seen.add(x)
+        assert _kept(index.accept(_batch(spark, *[(x, at + i) for i, x in enumerate(ids)]))) == want
+        at += len(ids)
+        while index.merge():
+            pass
+    head = index.list.head()
+    assert head["bits"] > 1 and len(head["runs"]) < 10 and len(index.list.vacuum()) >= 8
+
+
+def test_index_survives_a_lost_merge(spark, tmp_path, monkeypatch):
+    index = D.DeliveredIndex(spark, f"{tmp_path}/index")
+    for i in range(3):
+        index.accept(_batch(spark, (i, i), (10 + i, 10 + i)))
+    before = index.list.head()
+    with monkeypatch.context() as broken:
+        broken.setattr(D, "_RUN_ARROW", pa.schema([("other", pa.int64())]))  # the tasks that merge fail
+        with pytest.raises(PythonException):
+            index.merge(everything=True)
+    with monkeypatch.context() as broken:
+        broken.setattr(index.list, "publish", lambda *a, **k: 1 / 0)  # the driver is lost when all is written
+        with pytest.raises(ZeroDivisionError):
+            index.merge(everything=True)
+    assert index.list.head() == before
+    assert _kept(index.accept(_batch(spark, (0, 20), (12, 21), (13, 22)))) == [22]
+    with pytest.raises(Conflict):  # another has written a version meanwhile
+        index.list.publish(before, runs=[])
 
 
 def plain_tree(links):

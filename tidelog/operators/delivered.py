@@ -1,32 +1,39 @@
 """Exactly one copy of each message that was delivered at least once.
 
-An identifier is a pair of 64-bit hashes. Identifiers live in sorted arrays ("runs"), one set of runs per hash prefix;
-each incoming batch is deduplicated in itself, looked up in the runs by binary search, and what is novel becomes a run of
-its own. Runs are never changed; runs of like size are merged into one. In bulk (:func:`representatives`) the copies of an
-identifier within a batch are combined before anything is shuffled, so a message that makes up a third of all rows
+An identifier is a pair of 64-bit hashes. Accepted identifiers are kept on disk as sorted arrays ("runs"), cut by hash prefix into blocks
+of bounded size; each incoming batch is deduplicated in itself, its identifiers are looked up in the blocks of their prefix by binary
+search, and what is novel becomes a run of its own. Runs are never changed; runs of a level are merged into one of the next. The
+copies of an identifier within a batch are combined before anything is shuffled, so a message that makes up a third of all rows
 costs one entry per batch and task.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.runtime import settled
+from tidelog.runtime import settled, shared_dir
+from tidelog.sources.runs import RunList
 
-PREFIXES = 256
+#: Identifiers that a block is made for (24 bytes each); if blocks get four times as long, the next merge takes longer prefixes.
+BLOCK_IDS = 65_536
+#: Prefixes from which on it is worth asking which of them a batch touches.
+MANY_PREFIXES = 4_096
+#: Deliveries that are taken in together when several wait.
+WAITING = 8
 
 
 class Runs:
     """Sorted runs of identifiers ``(hi, lo)`` with the representative row of each."""
 
-    def __init__(self, runs: list[np.ndarray] | None = None):
-        self.runs = list(runs or [])
+    def __init__(self, runs: list[np.ndarray]):
+        self.runs = runs
 
     KIND = np.dtype([("hi", "<i8"), ("lo", "<i8"), ("row", "<i8")])
 
@@ -57,21 +64,19 @@ class Runs:
             at[open_] += 1
         return found
 
-    def add(self, hi: np.ndarray, lo: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Take in a batch; for each of its entries the representative row, and whether it was there before this batch."""
-        batch = self.run(hi, lo, row)
+    def look_up(self, batch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each identifier of a run its representative row, and whether one of these runs has it."""
         rep, known = batch["row"].copy(), np.zeros(len(batch), bool)
         for run in self.runs:
             at = self._find(run, batch["hi"], batch["lo"])
-            rep[at >= 0] = run["row"][at[at >= 0]]
+            rep[at >= 0] = np.where(known[at >= 0], np.minimum(rep[at >= 0], run["row"][at[at >= 0]]), run["row"][at[at >= 0]])
             known |= at >= 0
-        if (~known).any():
-            self.runs.append(batch[~known])
-            while len(self.runs) > 1 and len(self.runs[-2]) <= 2 * len(self.runs[-1]):
-                last = np.concatenate([self.runs.pop(), self.runs.pop()])
-                self.runs.append(last[np.lexsort((last["lo"], last["hi"]))])
-        at = self._find(batch, hi, lo)
-        return rep[at], known[at]
+        return rep, known
+
+    @classmethod
+    def merged(cls, runs: list[np.ndarray]) -> np.ndarray:
+        one = np.concatenate(runs)
+        return cls.run(one["hi"], one["lo"], one["row"])
 
 
 def identity(*parts: Column) -> tuple[Column, Column]:
@@ -83,48 +88,136 @@ def identity(*parts: Column) -> tuple[Column, Column]:
     return F.when(whole, F.xxhash64(text, F.lit(1))), F.when(whole, F.xxhash64(text, F.lit(2)))
 
 
-def representatives(ids: DataFrame) -> DataFrame:
-    """``hi, lo, rep`` of every identifier that has more than one row in ``ids`` (``batch_id, hi, lo, row_id``).
+_RUN = "prefix int, ids binary, many int, hi long, lo long, rep long, known boolean"
+
+
+class DeliveredIndex:
+    """The identifiers accepted so far, as runs under ``path``.
+
+    A run has a row per prefix with its sorted identifiers (``ids``), and beside these, for the batch it came from, a row for each
+    identifier that was there before (``known``) or more than once in the batch: ``hi, lo, rep``. Rows without an identifier are copies of
+    nothing.
+    """
+
+    def __init__(self, spark, path: str, bits: int = 4):
+        """``bits``: of the prefix, in the beginning."""
+        self.list, self.bits = RunList(spark, path), bits
+
+    @staticmethod
+    def _prefix(bits: int) -> Column:
+        return (F.shiftrightunsigned("hi", 64 - bits) if bits else F.lit(0)).cast("int")
+
+    def accept_ids(self, ids: DataFrame) -> DataFrame:
+        """Take in a batch (``hi, lo, row_id``), or several that wait (then with ``batch_id``): ``hi, lo, rep, known`` of the identifiers that were
+        there before or come more than once; ``rep`` is the row that is kept."""
+        head = self.list.head()
+        bits = head.get("bits", self.bits)
+        first = F.min(F.struct("batch_id", "row_id"))["row_id"] if "batch_id" in ids.columns else F.min("row_id")
+        entries = ids.where(F.col("hi").isNotNull()).groupBy("hi", "lo").agg(first.alias("row_id"), F.count("*").alias("n")).withColumn("prefix", self._prefix(bits))
+        stored = self.list.read(head["runs"], _RUN).where(F.col("ids").isNotNull()).select("prefix", "ids")
+        if 1 << bits >= MANY_PREFIXES:
+            entries = settled(entries, "batch-ids")
+            stored = stored.where(_within("prefix", [r[0] for r in entries.select("prefix").distinct().orderBy("prefix").collect()]))  # fewer than blocks in the index
+
+        def look_up(batch: pa.Table, blocks: pa.Table) -> pa.Table:
+            if not batch.num_rows:
+                return pa.Table.from_pylist([], _RUN_ARROW)
+            runs = Runs([np.frombuffer(b.as_buffer(), Runs.KIND) for b in blocks.column("ids")])
+            hi, lo, row, n = (batch.column(c).to_numpy() for c in ("hi", "lo", "row_id", "n"))
+            order = np.lexsort((lo, hi))
+            ours = Runs.run(hi, lo, row)
+            rep, known = runs.look_up(ours)
+            novel, told = ours[~known], known | (n[order] > 1)
+            p = batch.column("prefix")[0].as_py()
+            size = int(told.sum())
+            out = pa.table([pa.array([p] * size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.int32()), ours["hi"][told], ours["lo"][told], rep[told], known[told]], schema=_RUN_ARROW)
+            block = pa.Table.from_pylist([{"prefix": p, "ids": novel.tobytes(), "many": len(novel)}] if len(novel) else [], _RUN_ARROW)
+            return pa.concat_tables([out, block])
+
+        name, folder = self.list.fresh()
+        entries.groupBy("prefix").cogroup(stored.groupBy("prefix")).applyInArrow(look_up, _RUN).write.option("compression", "zstd").parquet(folder)
+        run = {"name": name, "level": 0}
+        self.list.publish(head, bits=bits, runs=[*head["runs"], run])
+        return self.list.read([run], _RUN).where(F.col("ids").isNull()).select("hi", "lo", "rep", "known")
+
+    def accept(self, batch: DataFrame) -> DataFrame:
+        """The rows of ``batch`` (``hi, lo, row_id`` and any other columns) to be kept: without an identifier, or of a novel one the smallest ``row_id``."""
+        told = self.accept_ids(batch.select("hi", "lo", "row_id"))
+        rows = batch.join(told, ["hi", "lo"], "left").where(F.col("rep").isNull() | (~F.col("known") & (F.col("row_id") == F.col("rep"))))
+        return rows.select(*batch.columns)
+
+    def merge(self, everything: bool = False) -> bool:
+        """Merge the runs of a level that has enough of them, or ``everything``; whether there was anything to do. New runs are written beside the
+        old ones, which stay in force until then; :meth:`RunList.vacuum` deletes them."""
+        head = self.list.head()
+        runs = head["runs"] if everything else self.list.due(head)
+        if len(runs) < 2:
+            return False
+        bits = head["bits"]
+        blocks = self.list.read(head["runs"], _RUN).where(F.col("ids").isNotNull())
+        total = blocks.agg(F.sum("many")).first()[0] or 0
+        if total > 4 * BLOCK_IDS << bits:  # blocks of all runs are cut anew, so all are merged
+            bits, runs = max(bits, (total // BLOCK_IDS).bit_length()), head["runs"]
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for ids in b.column("ids"):
+                    run = np.frombuffer(ids.as_buffer(), Runs.KIND)
+                    prefix = (run["hi"].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(run), np.int64)
+                    found = np.unique(prefix)
+                    parts = [run[prefix == p].tobytes() for p in found]
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(parts, pa.binary())], ["prefix", "ids"])
+
+        def merged(group: pa.Table) -> pa.Table:
+            run = Runs.merged([np.frombuffer(b.as_buffer(), Runs.KIND) for b in group.column("ids")])
+            return pa.Table.from_pylist([{"prefix": group.column("prefix")[0].as_py(), "ids": run.tobytes(), "many": len(run)}], _RUN_ARROW)
+
+        name, folder = self.list.fresh()
+        parts = self.list.read(runs, _RUN).where(F.col("ids").isNotNull()).select("ids").mapInArrow(cut, "prefix int, ids binary")
+        parts.groupBy("prefix").applyInArrow(merged, _RUN).write.option("compression", "zstd").parquet(folder)
+        gone = {r["name"] for r in runs}
+        kept = [r for r in head["runs"] if r["name"] not in gone]
+        self.list.publish(head, bits=bits, runs=[*kept, {"name": name, "level": max(r["level"] for r in runs) + 1}])
+        return True
+
+
+_RUN_ARROW = pa.schema([("prefix", pa.int32()), ("ids", pa.binary()), ("many", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("rep", pa.int64()), ("known", pa.bool_())])
+
+
+def _within(column: str, values: list[int], ranges: int = 100) -> Column:
+    """A filter that holds for sorted ``values``, as at most so many ranges, so that it reaches the scan."""
+    step = -(-len(values) // ranges) or 1
+    out = F.lit(False)
+    for i in range(0, len(values), step):
+        out = out | F.col(column).between(values[i], values[min(i + step, len(values)) - 1])
+    return out
+
+
+def waiting(rows: DataFrame, together: int = WAITING) -> list[DataFrame]:
+    """The deliveries of ``rows`` in the order of ``batch_id``, a null one first, so many of them at a time."""
+    ids = sorted((r[0] for r in rows.select("batch_id").distinct().collect()), key=lambda b: (b is not None, b))  # the driver knows each delivery anyway
+    out = []
+    for i in range(0, len(ids), together):
+        some = [b for b in ids[i : i + together] if b is not None]
+        mine = F.col("batch_id").between(min(some), max(some)) if some else F.lit(False)
+        out.append(rows.where(mine | F.col("batch_id").isNull() if ids[i] is None else mine))
+    return out
+
+
+def representatives(ids: DataFrame, path: str | None = None, together: int = WAITING) -> DataFrame:
+    """``hi, lo, rep`` of every identifier that has more than one row in ``ids`` (``batch_id, hi, lo, row_id``), taken in by a
+    :class:`DeliveredIndex` under ``path`` (else in the shared folder), so many deliveries at a time.
 
     ``rep`` is the smallest row of the first batch that brought it. Rows with a null identifier are no copies of
     anything; a null batch comes before all others.
     """
-    entries = (
-        ids.where(F.col("hi").isNotNull())
-        .groupBy(F.coalesce("batch_id", F.lit(-(2**31))).alias("batch_id"), "hi", "lo").agg(F.min("row_id").alias("row_id"), F.count("*").alias("n"))
-        .withColumn("prefix", F.shiftrightunsigned("hi", 56).cast("int"))
-        .repartition("prefix").sortWithinPartitions("prefix", "batch_id")
-    )
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs, prefix, pending, pending_key = Runs(), None, [], None
-
-        def flush():
-            t = pa.Table.from_batches(pending).to_pandas() if pending else None
-            if t is None:
-                return None
-            rep, known = runs.add(t["hi"].to_numpy(), t["lo"].to_numpy(), t["row_id"].to_numpy())
-            out = known | (t["n"].to_numpy() > 1)
-            return pa.RecordBatch.from_pydict({"hi": t["hi"].to_numpy()[out], "lo": t["lo"].to_numpy()[out], "rep": rep[out]})
-
-        for b in batches:
-            p, d = b.column("prefix").to_numpy(), b.column("batch_id").to_numpy()
-            cuts = np.flatnonzero((p[1:] != p[:-1]) | (d[1:] != d[:-1])) + 1
-            for i, j in zip([0, *cuts], [*cuts, len(p)]):
-                if j == i:
-                    continue
-                key = (p[i], d[i])
-                if key != pending_key:
-                    if (done := flush()) is not None:
-                        yield done
-                    pending, pending_key = [], key
-                    if p[i] != prefix:
-                        runs, prefix = Runs(), p[i]
-                pending.append(b.slice(i, j - i))
-        if (done := flush()) is not None:
-            yield done
-
-    return entries.mapInArrow(look_up, "hi long, lo long, rep long").groupBy("hi", "lo").agg(F.min("rep").alias("rep"))
+    index = DeliveredIndex(ids.sparkSession, path or f"{shared_dir(ids.sparkSession)}/delivered-{uuid.uuid4().hex}")
+    told = [ids.sparkSession.createDataFrame([], "hi long, lo long, rep long, known boolean")]
+    for some in waiting(ids, together):
+        told.append(index.accept_ids(some))
+        while index.merge():
+            pass
+    return reduce(DataFrame.union, told).groupBy("hi", "lo").agg(F.min("rep").alias("rep"))
 
 
 def linked(edges: DataFrame) -> DataFrame:
@@ -169,52 +262,3 @@ def message_copies(log: DataFrame) -> DataFrame:
     edges = seconds.join(resent, ["hi2", "lo2"]).join(reps, ["hi", "lo"], "left").select(F.struct("hi2", "lo2").alias("link"), F.coalesce("rep", "row_id").alias("rep"))
     labels = linked(edges)
     return copies.union(labels.where(F.col("label") < F.col("rep")).select(F.col("rep").alias("row_id")))
-
-
-class DeliveredIndex:
-    """The identifiers accepted so far, kept as Parquet runs by prefix under ``path``.
-
-    ``accept`` returns the rows of a batch whose identifier is novel (one each, the smallest ``row_id``) and adds a run; ``merge``
-    makes one run of all. Only the prefixes a batch touches are read. Rows without an identifier are always accepted.
-    """
-
-    def __init__(self, spark, path: str):
-        self.spark, self.path = spark, path
-
-    def _runs(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except Exception as why:  # no run yet
-            if "PATH_NOT_FOUND" in str(why) or "UNABLE_TO_INFER_SCHEMA" in str(why):
-                return None
-            raise
-
-    def accept(self, batch: DataFrame) -> DataFrame:
-        """``batch`` has ``hi, lo, row_id`` and any other columns."""
-        prefixed = batch.withColumn("prefix", F.shiftrightunsigned("hi", 56).cast("int"))
-        ids = prefixed.where("hi is not null").groupBy("prefix", "hi", "lo").agg(F.min("row_id").alias("row_id"))
-        stored = self._runs()
-        if stored is None:
-            novel = ids
-        else:
-            touched = [r[0] for r in ids.select("prefix").distinct().collect()]  # at most PREFIXES
-            stored = stored.where(F.col("prefix").isin(touched))
-
-            def look_up(ours: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-                runs = Runs([Runs.run(g["hi"].to_numpy(), g["lo"].to_numpy(), g["row_id"].to_numpy()) for _, g in ours.groupby("run")])
-                _, known = runs.add(batch["hi"].to_numpy(), batch["lo"].to_numpy(), batch["row_id"].to_numpy())
-                return batch[~known]
-
-            novel = stored.groupBy("prefix").cogroup(ids.groupBy("prefix")).applyInPandas(look_up, ids.schema)
-        novel = settled(novel, "novel")
-        fresh = settled(prefixed.join(novel.select("hi", "lo", "row_id"), ["hi", "lo", "row_id"], "left_semi").unionByName(prefixed.where("hi is null")).drop("prefix"), "fresh")
-        run = 0 if stored is None else (self._runs().agg(F.max("run")).first()[0] or 0) + 1
-        novel.withColumn("run", F.lit(run)).repartition("prefix").sortWithinPartitions("hi", "lo").write.mode("append").partitionBy("prefix").parquet(self.path)
-        return fresh
-
-    def merge(self) -> None:
-        """All runs of a prefix into one; the old files go last, so a lost job leaves the index as it was."""
-        stored = self._runs()
-        if stored is not None:
-            one = settled(stored.withColumn("run", F.lit(0)).repartition("prefix").sortWithinPartitions("hi", "lo"), "merged")
-            one.write.mode("overwrite").partitionBy("prefix").parquet(self.path)
