@@ -19,14 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.runtime import settled, shared_dir
-from tidelog.sources.runs import RunList
+from tidelog.sources.runs import WAITING, RunList, waiting, within
 
 #: Identifiers that a block is made for (24 bytes each); if blocks get four times as long, the next merge takes longer prefixes.
 BLOCK_IDS = 65_536
 #: Prefixes from which on it is worth asking which of them a batch touches.
 MANY_PREFIXES = 4_096
-#: Deliveries that are taken in together when several wait.
-WAITING = 8
 
 
 class Runs:
@@ -117,7 +115,7 @@ class DeliveredIndex:
         stored = self.list.read(head["runs"], _RUN).where(F.col("ids").isNotNull()).select("prefix", "ids")
         if 1 << bits >= MANY_PREFIXES:
             entries = settled(entries, "batch-ids")
-            stored = stored.where(_within("prefix", [r[0] for r in entries.select("prefix").distinct().orderBy("prefix").collect()]))  # fewer than blocks in the index
+            stored = stored.where(within("prefix", [r[0] for r in entries.select("prefix").distinct().orderBy("prefix").collect()]))  # fewer than blocks in the index
 
         def look_up(batch: pa.Table, blocks: pa.Table) -> pa.Table:
             if not batch.num_rows:
@@ -184,26 +182,6 @@ class DeliveredIndex:
 _RUN_ARROW = pa.schema([("prefix", pa.int32()), ("ids", pa.binary()), ("many", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("rep", pa.int64()), ("known", pa.bool_())])
 
 
-def _within(column: str, values: list[int], ranges: int = 100) -> Column:
-    """A filter that holds for sorted ``values``, as at most so many ranges, so that it reaches the scan."""
-    step = -(-len(values) // ranges) or 1
-    out = F.lit(False)
-    for i in range(0, len(values), step):
-        out = out | F.col(column).between(values[i], values[min(i + step, len(values)) - 1])
-    return out
-
-
-def waiting(rows: DataFrame, together: int = WAITING) -> list[DataFrame]:
-    """The deliveries of ``rows`` in the order of ``batch_id``, a null one first, so many of them at a time."""
-    ids = sorted((r[0] for r in rows.select("batch_id").distinct().collect()), key=lambda b: (b is not None, b))  # the driver knows each delivery anyway
-    out = []
-    for i in range(0, len(ids), together):
-        some = [b for b in ids[i : i + together] if b is not None]
-        mine = F.col("batch_id").between(min(some), max(some)) if some else F.lit(False)
-        out.append(rows.where(mine | F.col("batch_id").isNull() if ids[i] is None else mine))
-    return out
-
-
 def representatives(ids: DataFrame, path: str | None = None, together: int = WAITING) -> DataFrame:
     """``hi, lo, rep`` of every identifier that has more than one row in ``ids`` (``batch_id, hi, lo, row_id``), taken in by a
     :class:`DeliveredIndex` under ``path`` (else in the shared folder), so many deliveries at a time.

@@ -11,12 +11,15 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.sources.store import Files
 
 #: Runs of a level that are merged into one of the next.
 FAN = 8
+#: Deliveries that are taken in together when several wait.
+WAITING = 8
 
 
 class RunList:
@@ -69,3 +72,23 @@ class RunList:
             if n.endswith(".json") and not n.startswith(".") and int(n.split(".")[0]) < head["version"]:
                 self.files.delete(f"head/{n}")
         return gone
+
+
+def within(column: str, values: list[int], ranges: int = 100) -> Column:
+    """A filter that holds for sorted ``values``, as at most so many ranges, so that it reaches the scan."""
+    step = -(-len(values) // ranges) or 1
+    out = F.lit(False)
+    for i in range(0, len(values), step):
+        out = out | F.col(column).between(values[i], values[min(i + step, len(values)) - 1])
+    return out
+
+
+def waiting(rows: DataFrame, together: int = WAITING) -> list[DataFrame]:
+    """The deliveries of ``rows`` in the order of ``batch_id``, a null one first, so many of them at a time."""
+    ids = sorted((r[0] for r in rows.select("batch_id").distinct().collect()), key=lambda b: (b is not None, b))  # the driver knows each delivery anyway
+    out = []
+    for i in range(0, len(ids), together):
+        some = [b for b in ids[i : i + together] if b is not None]
+        mine = F.col("batch_id").between(min(some), max(some)) if some else F.lit(False)
+        out.append(rows.where(mine | F.col("batch_id").isNull() if ids[i] is None else mine))
+    return out
