@@ -10,10 +10,9 @@ from tidelog.runtime import scan
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    log, orders = scan(spark, d, "log_lines"), scan(spark, d, "market_order")
-    of_log = history.exact_repeats(log).union(history.repeats(history.log_rows(log), "line"))
-    of_orders = history.exact_repeats(orders).union(history.repeats(history.order_rows(orders), "row"))
-    return of_log.select(F.lit("log_lines").alias("tbl"), "row_id").union(of_orders.select(F.lit("market_order").alias("tbl"), "row_id")).distinct()
+    of_log = history.repeats(history.log_rows(scan(spark, d, "log_lines")), "line")
+    of_orders = history.repeats(history.order_rows(scan(spark, d, "market_order")), "row")
+    return of_log.select(F.lit("log_lines").alias("tbl"), "row_id").union(of_orders.select(F.lit("market_order").alias("tbl"), "row_id"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
