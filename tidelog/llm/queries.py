@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +13,12 @@ from tidelog.runtime import scan
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    of_log = history.repeats(history.log_rows(scan(spark, d, "log_lines")), "line")
-    of_orders = history.repeats(history.order_rows(scan(spark, d, "market_order")), "row")
-    return of_log.select(F.lit("log_lines").alias("tbl"), "row_id").union(of_orders.select(F.lit("market_order").alias("tbl"), "row_id"))
+    tables = {"log_lines": (history.log_rows, "line"), "market_order": (history.order_rows, "row")}
+    scans = {t: scan(spark, d, t) for t in tables}
+    # the tables know nothing of each other: while one waits for its next delivery the other is worked on
+    with ThreadPoolExecutor(len(tables)) as pool:
+        found = dict(zip(tables, pool.map(lambda t: history.repeats(tables[t][0](scans[t]), tables[t][1]), tables)))
+    return reduce(DataFrame.union, [rows.select(F.lit(t).alias("tbl"), "row_id") for t, rows in found.items()])
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
