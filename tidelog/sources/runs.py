@@ -19,7 +19,7 @@ from tidelog.sources.store import Files
 #: Runs of a level that are merged into one of the next.
 FAN = 8
 #: Deliveries that are taken in together when several wait.
-WAITING = 8
+WAITING = 10
 
 
 class RunList:
