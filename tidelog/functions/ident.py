@@ -5,7 +5,9 @@ from __future__ import annotations
 import struct
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,15 +52,44 @@ def hash_of(*parts) -> int:
     return hash_bytes(frame)
 
 
-@F.arrow_udf(LongType())
-def _digest(data: pa.Array) -> pa.Array:
-    digest = xxhash.xxh3_64_intdigest
-    return pa.array([None if b is None else signed(digest(b)) for b in data.to_pylist()], pa.int64())
+def _hashes(data: memoryview, ends: np.ndarray) -> pa.Array:
+    """The hash of each stretch of ``data``; ``ends`` begins with 0."""
+    digest, at = xxhash.xxh3_64_intdigest, ends.tolist()
+    return pa.array(np.fromiter((digest(data[a:b]) for a, b in zip(at, at[1:])), np.uint64, len(at) - 1).view(np.int64))
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a column one after the other, how many each value has, and which are null (with none)."""
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        column = pc.fill_null(column.cast(pa.binary()), b"")
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]] if column.buffers()[2] is not None else np.zeros(0, np.uint8)
+        return data, np.diff(ends).astype(np.int64), null
+    kind = np.uint8 if pa.types.is_boolean(column.type) else "<f8" if pa.types.is_floating(column.type) else "<i8"
+    there = column.drop_null().to_numpy(zero_copy_only=False).astype(kind)
+    return there.view(np.uint8), np.where(null, 0, there.itemsize), null
 
 
-def _little(c: Column) -> Column:
-    """Eight bytes of a long, least first."""
-    return F.unhex(F.reverse(F.regexp_replace(F.lpad(F.hex(c.cast("long")), 16, "0"), "(.)(.)", "$2$1")))
+def framed(columns: list[pa.Array]) -> pa.Array:
+    """:func:`hash_of` for whole columns: the frames of all rows are laid out at once, then hashed where they lie."""
+    parts = [_bytes_of(c) for c in columns]
+    ends = np.concatenate([[0], np.cumsum(sum(n for _, n, _ in parts) + 8 * len(parts))])
+    out, at = np.zeros(int(ends[-1]), np.uint8), ends[:-1].copy()
+    for data, n, null in parts:
+        said = np.where(null, -1, n).astype("<i8")
+        out[at[:, None] + np.arange(8)] = said.view(np.uint8).reshape(-1, 8)
+        at += 8
+        out[np.repeat(at - np.cumsum(n) + n, n) + np.arange(len(data))] = data
+        at += n
+    return _hashes(memoryview(out), ends)
+
+
+@F.arrow_udf(LongType())
+def _digest(data: pa.Array) -> pa.Array:
+    raw, n, null = _bytes_of(data)
+    found = _hashes(memoryview(np.ascontiguousarray(raw)), np.concatenate([[0], np.cumsum(n)]))
+    return pc.if_else(pa.array(null), pa.scalar(None, pa.int64()), found)
 
 
 def digest(data: Column) -> Column:
@@ -75,7 +106,7 @@ def ident(*parts: Column | str | int, kinds: Sequence[str] = ()) -> Column:
         frame.append((c, kinds[i] if i < len(kinds) else ("string" if isinstance(p, str) else "long")))
 
     @F.arrow_udf(LongType())
-    def framed(*cols: pa.Array) -> pa.Array:
-        return pa.array([hash_of(*row) for row in zip(*(x.to_pylist() for x in cols))], pa.int64())
+    def of_columns(*cols: pa.Array) -> pa.Array:
+        return framed(list(cols))
 
-    return framed(*[c.cast(k) for c, k in frame])
+    return of_columns(*[c.cast(k) for c, k in frame])

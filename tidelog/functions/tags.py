@@ -33,14 +33,38 @@ _INDEXED = rf"(?s)^{WS}*#?(?:\d+|{NAME})\[\d+\]"
 
 PAIR = "array<struct<key:string,value:string>>"
 
-# fixed values: tags lifted to columns, with their kinds (S text, L integer, D number, B flag, X bytes, N instant)
-SESSION = "8 begin_string S, 9 body_length L, 35 msg_type S, 10 check_sum S, 49 sender_comp_id S, 50 sender_sub_id S, 142 sender_location_id S, 56 target_comp_id S, 57 target_sub_id S, 143 target_location_id S, 115 on_behalf_of_comp_id S, 116 on_behalf_of_sub_id S, 144 on_behalf_of_location_id S, 128 deliver_to_comp_id S, 129 deliver_to_sub_id S, 145 deliver_to_location_id S, 34 seq L, 369 last_msg_seq_num_processed L, 43 poss_dup_flag B, 97 poss_resend B, 52 sending_unix N, 122 orig_sending_unix N, 370 on_behalf_of_sending_unix N, 1128 appl_ver_id S, 1129 cstm_appl_ver_id S, 1156 appl_ext_id L, 347 message_encoding S, 212 xml_data_len L, 213 xml_data X, 90 secure_data_len L, 91 secure_data X, 93 signature_length L, 89 signature X"
-COMMON = "55 symbol S, 48 security_id S, 22 security_id_source S, 167 security_type S, 461 cfi_code S, 207 security_exchange S, 15 currency S, 1 account S, 11 cl_ord_id S, 41 orig_cl_ord_id S, 37 order_id S, 17 exec_id S, 54 side S, 40 ord_type S, 59 time_in_force S, 39 ord_status S, 150 exec_type S, 38 order_qty D, 44 price D, 6 avg_px D, 14 cum_qty D, 151 leaves_qty D, 31 last_px D, 32 last_qty D, 60 transact_unix N, 58 text S"
-LIFTED = tuple((int(t), n, k) for t, n, k in (x.split() for x in f"{SESSION}, {COMMON}".split(", ")))
-
-# fixed values: rendered names of tags beyond those lifted
-_NAMES = "MsgType 35, SenderCompID 49, TargetCompID 56, SendingTime 52, OrigSendingTime 122, OrigTime 42, PossDupFlag 43, PossResend 97, MsgSeqNum 34, TransactTime 60, TradeDate 75, ExpireTime 126, ExpireDate 432, OrdStatus 39, ExecTransType 20, CxlRejReason 102, NoMDEntries 268, MDEntryType 269, MDEntryPx 270, MDEntrySize 271, MDEntryDate 272, MDEntryTime 273, MDEntryID 278, MDUpdateAction 279, NumberOfOrders 346, TrdMatchID 880, SecurityExchange 207, ExDestination 100, Price 44, OrderQty 38, LastPx 31, LastQty 32, NoSecurityAltID 454, SecurityAltID 455, SecurityAltIDSource 456, NoLegs 555, MaturityMonthYear 200, LegMaturityMonthYear 610, Symbol 55, SecurityID 48, SecurityIDSource 22, SecurityType 167, CFICode 461, Currency 15, Account 1, ClOrdID 11, OrigClOrdID 41, OrderID 37, ExecID 17, Side 54, OrdType 40, TimeInForce 59, ExecType 150, AvgPx 6, CumQty 14, LeavesQty 151, Text 58, StopPx 99, MaxFloor 111, OrdRejReason 103, AggressorIndicator 1057, TradeID 1003, LastMkt 30, BeginString 8, BodyLength 9, CheckSum 10, ExecInst 18, HandlInst 21, NoPartyIDs 453, PartyID 448, PartyIDSource 447, PartyRole 452, QuoteCondition 276, TradeCondition 277, MaturityDate 541, StrikePrice 202, PutOrCall 201, ContractMultiplier 231"
-TAG_OF = {n.lower(): int(t) for n, t in (x.split() for x in _NAMES.split(", "))}
+# fixed values: tags lifted to columns, those of the session first, with their kinds (S text, L integer, D number, B flag, X bytes, N instant)
+LIFTED: tuple[tuple[int, str, str], ...] = (
+    (8, "begin_string", "S"), (9, "body_length", "L"), (35, "msg_type", "S"), (10, "check_sum", "S"), (49, "sender_comp_id", "S"),
+    (50, "sender_sub_id", "S"), (142, "sender_location_id", "S"), (56, "target_comp_id", "S"), (57, "target_sub_id", "S"),
+    (143, "target_location_id", "S"), (115, "on_behalf_of_comp_id", "S"), (116, "on_behalf_of_sub_id", "S"), (144, "on_behalf_of_location_id", "S"),
+    (128, "deliver_to_comp_id", "S"), (129, "deliver_to_sub_id", "S"), (145, "deliver_to_location_id", "S"), (34, "seq", "L"),
+    (369, "last_msg_seq_num_processed", "L"), (43, "poss_dup_flag", "B"), (97, "poss_resend", "B"), (52, "sending_unix", "N"),
+    (122, "orig_sending_unix", "N"), (370, "on_behalf_of_sending_unix", "N"), (1128, "appl_ver_id", "S"), (1129, "cstm_appl_ver_id", "S"),
+    (1156, "appl_ext_id", "L"), (347, "message_encoding", "S"), (212, "xml_data_len", "L"), (213, "xml_data", "X"), (90, "secure_data_len", "L"),
+    (91, "secure_data", "X"), (93, "signature_length", "L"), (89, "signature", "X"), (55, "symbol", "S"), (48, "security_id", "S"),
+    (22, "security_id_source", "S"), (167, "security_type", "S"), (461, "cfi_code", "S"), (207, "security_exchange", "S"), (15, "currency", "S"),
+    (1, "account", "S"), (11, "cl_ord_id", "S"), (41, "orig_cl_ord_id", "S"), (37, "order_id", "S"), (17, "exec_id", "S"), (54, "side", "S"),
+    (40, "ord_type", "S"), (59, "time_in_force", "S"), (39, "ord_status", "S"), (150, "exec_type", "S"), (38, "order_qty", "D"), (44, "price", "D"),
+    (6, "avg_px", "D"), (14, "cum_qty", "D"), (151, "leaves_qty", "D"), (31, "last_px", "D"), (32, "last_qty", "D"), (60, "transact_unix", "N"),
+    (58, "text", "S"),
+)
+
+# fixed values: rendered names of tags
+_NAMES: dict[str, int] = {
+    "MsgType": 35, "SenderCompID": 49, "TargetCompID": 56, "SendingTime": 52, "OrigSendingTime": 122, "OrigTime": 42, "PossDupFlag": 43,
+    "PossResend": 97, "MsgSeqNum": 34, "TransactTime": 60, "TradeDate": 75, "ExpireTime": 126, "ExpireDate": 432, "OrdStatus": 39,
+    "ExecTransType": 20, "CxlRejReason": 102, "NoMDEntries": 268, "MDEntryType": 269, "MDEntryPx": 270, "MDEntrySize": 271, "MDEntryDate": 272,
+    "MDEntryTime": 273, "MDEntryID": 278, "MDUpdateAction": 279, "NumberOfOrders": 346, "TrdMatchID": 880, "SecurityExchange": 207,
+    "ExDestination": 100, "Price": 44, "OrderQty": 38, "LastPx": 31, "LastQty": 32, "NoSecurityAltID": 454, "SecurityAltID": 455,
+    "SecurityAltIDSource": 456, "NoLegs": 555, "MaturityMonthYear": 200, "LegMaturityMonthYear": 610, "Symbol": 55, "SecurityID": 48,
+    "SecurityIDSource": 22, "SecurityType": 167, "CFICode": 461, "Currency": 15, "Account": 1, "ClOrdID": 11, "OrigClOrdID": 41, "OrderID": 37,
+    "ExecID": 17, "Side": 54, "OrdType": 40, "TimeInForce": 59, "ExecType": 150, "AvgPx": 6, "CumQty": 14, "LeavesQty": 151, "Text": 58,
+    "StopPx": 99, "MaxFloor": 111, "OrdRejReason": 103, "AggressorIndicator": 1057, "TradeID": 1003, "LastMkt": 30, "BeginString": 8,
+    "BodyLength": 9, "CheckSum": 10, "ExecInst": 18, "HandlInst": 21, "NoPartyIDs": 453, "PartyID": 448, "PartyIDSource": 447, "PartyRole": 452,
+    "QuoteCondition": 276, "TradeCondition": 277, "MaturityDate": 541, "StrikePrice": 202, "PutOrCall": 201, "ContractMultiplier": 231,
+}
+TAG_OF = {name.lower(): tag for name, tag in _NAMES.items()}
 
 
 def _first_of(text: Column, candidates: tuple[str, ...] = SEPARATORS) -> Column:
@@ -136,15 +160,18 @@ def rendered(message: str) -> list[tuple[str, str]]:
     return out[: end + 1]
 
 
-_PAIRS_ARROW = pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
-_TAGS_ARROW = pa.list_(pa.struct([("tag", pa.int32()), ("value", pa.string())]))
 PAIR_TYPE = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]))
 TAG_TYPE = T.ArrayType(T.StructType([T.StructField("tag", T.IntegerType()), T.StructField("value", T.StringType())]))
 
 
 @F.arrow_udf(PAIR_TYPE)
 def _rendered_pairs(messages: pa.Array) -> pa.Array:
-    return pa.array([None if m is None else [{"key": k, "value": v} for k, v in rendered(m)] for m in messages.to_pylist()], _PAIRS_ARROW)
+    keys, values, row = [], [], []
+    for i, m in enumerate(messages.to_pylist()):
+        for k, v in rendered(m) if m is not None else ():
+            keys.append(k), values.append(v), row.append(i)
+    both = pa.StructArray.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.string())], ["key", "value"])
+    return _listed(both, np.array(row, np.int64), len(messages), pc.is_null(messages))
 
 
 def parse(df, message: str = "message", out: str = "pairs", named: bool | Column = False):
@@ -176,37 +203,44 @@ def _tag(key: str) -> int | None:
 
 
 #: What a message's pairs are made of: known tags, other keys, and the values of lifted tags that occur once, which are no longer among the tags.
-TRANSCRIBED = T.StructType([T.StructField("fix_tags", TAG_TYPE), T.StructField("keyval", PAIR_TYPE), T.StructField("flat", T.MapType(T.IntegerType(), T.StringType()))])
-_LIFTED_TAGS = frozenset(t for t, _, _ in LIFTED)
+TRANSCRIBED = T.StructType(
+    [T.StructField("fix_tags", TAG_TYPE), T.StructField("keyval", PAIR_TYPE), T.StructField("lifted", T.StructType([T.StructField(n, T.StringType()) for _, n, _ in LIFTED]))]
+)
+_LIFTED_AT = {tag: i for i, (tag, _, _) in enumerate(LIFTED)}
+
+
+def _listed(values: pa.Array, row: np.ndarray, rows: int, missing: pa.Array) -> pa.Array:
+    """``values`` as a list for each row; ``row`` tells whose they are, in order."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=missing)
 
 
 @F.arrow_udf(TRANSCRIBED)
 def transcribed(pairs: pa.Array) -> pa.Array:
-    """Pairs by their keys, in wire order; pairs without a value are dropped."""
-    known: dict[str, int | None] = {}
-    fix, other, flat = [], [], []
-    for row in pairs.to_pylist():
-        if row is None:
-            fix.append(None), other.append(None), flat.append(None)
-            continue
-        tags, keys, count = [], [], {}
-        for p in row:
-            k, v = p["key"], p["value"]
-            if v is None or v.strip().lower() in V.NULL_WORDS:
-                continue
-            if k not in known and len(known) < 100_000:
-                known[k] = _tag(k)
-            tag = known[k] if k in known else _tag(k)
-            if tag is None:
-                keys.append({"key": re.sub(r"\[\d+\]", "", k), "value": v})
-            else:
-                tags.append((tag, v))
-                count[tag] = count.get(tag, 0) + 1
-        once = {t for t, n in count.items() if n == 1 and t in _LIFTED_TAGS}
-        flat.append([(t, v) for t, v in tags if t in once])
-        fix.append([{"tag": t, "value": v} for t, v in tags if t not in once])
-        other.append(keys)
-    return pa.StructArray.from_arrays([pa.array(fix, _TAGS_ARROW), pa.array(other, _PAIRS_ARROW), pa.array(flat, pa.map_(pa.int32(), pa.string()))], ["fix_tags", "keyval", "flat"])
+    """Pairs by their keys, in wire order; pairs without a value are dropped. Whole columns at a time: each distinct key is resolved once a batch."""
+    rows, width, missing = len(pairs), len(LIFTED), pc.is_null(pairs)
+    flat = pairs.flatten()
+    row = np.repeat(np.arange(rows), pc.fill_null(pc.list_value_length(pairs), 0).to_numpy(zero_copy_only=False))
+    value = pc.struct_field(flat, "value")
+    said = pc.and_(pc.is_valid(value), pc.invert(pc.is_in(pc.utf8_lower(pc.utf8_trim_whitespace(value)), value_set=pa.array(V.NULL_WORDS))))
+    flat, row = flat.filter(said), row[said.to_numpy(zero_copy_only=False)]
+    value, coded = pc.struct_field(flat, "value"), pc.struct_field(flat, "key").dictionary_encode()
+    names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    tags = [None if k is None else _tag(k) for k in names]
+    tag = np.array([-1 if t is None else t for t in tags], np.int32)[code]
+    at = np.array([_LIFTED_AT.get(t, -1) for t in tags], np.int64)[code]
+    cell = row * width + at
+    once = at >= 0
+    once[once] = np.bincount(cell[once], minlength=rows * width)[cell[once]] == 1
+    place = np.full(rows * width, -1, np.int64)
+    place[cell[once]] = np.flatnonzero(once)
+    place = place.reshape(rows, width)
+    lifted = pa.StructArray.from_arrays([value.take(pa.array(p, mask=p < 0)) for p in place.T], [n for _, n, _ in LIFTED])
+    known, other = np.flatnonzero((tag >= 0) & ~once), np.flatnonzero(tag < 0)
+    plain = pa.array([None if k is None else re.sub(r"\[\d+\]", "", k) for k in names], pa.string())
+    fix = pa.StructArray.from_arrays([pa.array(tag[known]), value.take(pa.array(known))], ["tag", "value"])
+    keyval = pa.StructArray.from_arrays([plain.take(pa.array(code[other])), value.take(pa.array(other))], ["key", "value"])
+    return pa.StructArray.from_arrays([_listed(fix, row[known], rows, missing), _listed(keyval, row[other], rows, missing), lifted], ["fix_tags", "keyval", "lifted"])
 
 
 @F.arrow_udf(PAIR_TYPE)
@@ -214,15 +248,13 @@ def from_pairs(pairs: pa.Array) -> pa.Array:
     """Pairs with names as pairs with tags; what names no tag keeps its name, what has no value goes. Each distinct key is resolved once a batch."""
     flat, parent = pc.list_flatten(pairs), pc.list_parent_indices(pairs)
     have = pc.is_valid(pc.struct_field(flat, "value"))
-    flat, parent = flat.filter(have), parent.filter(have)
+    flat, parent = flat.filter(have), parent.filter(have).to_numpy()
     coded = pc.struct_field(flat, "key").dictionary_encode()
     names = coded.dictionary.to_pylist()
     tags = [None if k is None or "[" in k else _tag(re.sub(r"[ _-]+", "", k)) for k in names]
     keys = pa.array([k if t is None else str(t) for k, t in zip(names, tags)], pa.string()).take(coded.indices)
-    sizes = np.bincount(parent.to_numpy(), minlength=len(pairs)) if len(parent) else np.zeros(len(pairs), np.int64)
-    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     both = pa.StructArray.from_arrays([keys, pc.struct_field(flat, "value")], ["key", "value"])
-    return pa.ListArray.from_arrays(pa.array(ends), both, mask=pc.is_null(pairs))
+    return _listed(both, parent, len(pairs), pc.is_null(pairs))
 
 
 _KINDS = {"S": lambda t: t, "L": V.integer, "D": V.number, "B": V.bool_words, "X": lambda t: t.cast("binary"), "N": V.nanos}
@@ -230,9 +262,9 @@ _KINDS = {"S": lambda t: t, "L": V.integer, "D": V.number, "B": V.bool_words, "X
 
 def lift(df, pairs: str = "pairs"):
     """``df`` with ``fix_tags``, ``keyval`` and a typed column for each lifted tag, which is null unless the tag occurs exactly once."""
-    df = df.withColumn("_t", transcribed(F.col(pairs))).withColumn("_flat", F.col("_t.flat"))
-    lifted = {name: _KINDS[kind](F.try_element_at("_flat", F.lit(tag))) for tag, name, kind in LIFTED}
-    return df.withColumns({"fix_tags": F.col("_t.fix_tags"), "keyval": F.col("_t.keyval"), **lifted}).drop("_t", "_flat")
+    df = df.withColumn("_t", transcribed(F.col(pairs)))
+    lifted = {name: _KINDS[kind](F.col(f"_t.lifted.{name}")) for _, name, kind in LIFTED}
+    return df.withColumns({"fix_tags": F.col("_t.fix_tags"), "keyval": F.col("_t.keyval"), **lifted}).drop("_t")
 
 
 def value_of(pairs: Column, tag: int, names: tuple[str, ...] = ()) -> Column:

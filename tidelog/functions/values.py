@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date as Date
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,23 +18,31 @@ FALSE_WORDS = ("n", "no", "false", "f", "0", "off", "non", "nein", "nej")
 NULL_WORDS = ("", "null", "<null>", "n/a")
 
 # fixed values: wire datatypes by the type they are kept as; any other is text
-DATATYPES = {
-    "bigint": "int length tagnum seqnum numingroup dayofmonth day",
-    "double": "float qty price priceoffset amt percentage quantity",
-    "boolean": "boolean", "binary": "data",
-    "date": "utcdateonly utcdate date localmktdate localmmktdate",
-    "nanos": "utctimestamp time", "nanos_of_day": "utctimeonly localmkttime",
-}
-
-_STAMP = r"^[ \t]*(?:(\d{4})(\d{2})(\d{2}))?(?:[-T ]?(\d{2}):(\d{2})(?::(\d{2}))?(?:\.(\d{1,9}))?)?[ \t]*Z?[ \t]*\z"
-_INTEGER = r"^[+-]?[0-9]{1,18}\z"
-_DECIMAL = r"^[+-]?(?:[0-9]{1,17}(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]{1,3})?\z"
+DATATYPES: dict[str, tuple[str, ...]] = {
+    "bigint": ("int", "length", "tagnum", "seqnum", "numingroup", "dayofmonth", "day"),
+    "double": ("float", "qty", "price", "priceoffset", "amt", "percentage", "quantity"),
+    "boolean": ("boolean",),
+    "binary": ("data",),
+    "date": ("utcdateonly", "utcdate", "date", "localmktdate", "localmmktdate"),
+    "nanos": ("utctimestamp", "time"),
+    "nanos_of_day": ("utctimeonly", "localmkttime"),
+}
+
+_DIGITS, _ZEROS = "123456789", "000000000"
+#: What a clock looks like with each digit as 0, to the nanosecond; shorter ones are its beginnings.
+_CLOCK = "00:00:00.000000000"
+_AS_ZERO = str.maketrans(_DIGITS, _ZEROS)
+_EPOCH = Date(1970, 1, 1).toordinal()
+_CLOCK_LENGTHS = (5, 8, *range(10, len(_CLOCK) + 1))
+#: What is left of a number without its digits.
+_INTEGER_SIGNS = ("", "+", "-")
+_NUMBER_SIGNS = tuple(sign + point + power for sign in _INTEGER_SIGNS for point in ("", ".") for power in ("", "e", "e+", "e-"))
 
 
 def datatype(name: str | None) -> str:
     """The kind a wire datatype is kept as, ``string`` if it is unknown."""
     low = (name or "").strip().lower()
-    return next((kind for kind, names in DATATYPES.items() if low in names.split()), "string")
+    return next((kind for kind, names in DATATYPES.items() if low in names), "string")
 
 
 def bool_words(text: Column) -> Column:
@@ -46,11 +57,13 @@ def flag(text: Column) -> Column:
 
 
 def integer(text: Column) -> Column:
-    return F.when(text.rlike(_INTEGER), text.try_cast("long"))
+    """Digits with a sign or none, as far as 64 bits go."""
+    return F.when(F.translate(text, "0123456789", "").isin(*_INTEGER_SIGNS), text.try_cast("long"))
 
 
 def number(text: Column) -> Column:
-    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    """A decimal number with a power of ten or none; words such as infinity are no numbers."""
+    return F.when(F.translate(F.lower(text), "0123456789", "").isin(*_NUMBER_SIGNS), text.try_cast("double"))
 
 
 def is_null_word(text: Column) -> Column:
@@ -59,15 +72,54 @@ def is_null_word(text: Column) -> Column:
 
 def nanos(text: Column, day: Column | None = None) -> Column:
     """A wire timestamp, date or time of day as nanoseconds since the epoch. A time alone belongs to the day of the instant
-    ``day``, else to the epoch's. Hours to 23, minutes to 59, seconds to 60 (a leap second); null if the date does not exist."""
-    part = lambda i: F.regexp_extract(text, _STAMP, i)
-    num = lambda i: F.coalesce(F.nullif(part(i), F.lit("")).try_cast("int"), F.lit(0))
-    has_date, has_time = part(1) != "", part(4) != ""
-    date = F.unix_date(F.try_to_timestamp(F.concat(part(1), part(2), part(3)), F.lit("yyyyMMdd")).cast("date")).cast("long")
+    ``day``, else to the epoch's. Hours to 23, minutes to 59, seconds to 60 (a leap second); null if the date does not exist.
+
+    ``YYYYMMDD``, ``HH:MM[:SS[.fraction]]``, or both joined by a dash, a T or a blank; blanks around it and a Z at its end mean nothing. All is read by
+    its place, once."""
+    bare = F.trim(text, F.lit(" \t"))
+    bare = F.when(F.endswith(bare, F.lit("Z")), F.rtrim(F.substring(bare, F.lit(1), F.length(bare) - 1), F.lit(" \t"))).otherwise(bare)
+    dated = F.startswith(F.translate(bare, _DIGITS, _ZEROS), F.lit("00000000"))
+    whole = F.length(bare) == 8
+    joined = F.substring(bare, 9, 1).isin("-", "T", " ")
+    clock = F.when(dated, F.substring(bare, 10, 19)).otherwise(bare)
+    timed = F.startswith(F.lit(_CLOCK), F.translate(clock, _DIGITS, _ZEROS)) & F.length(clock).isin(*_CLOCK_LENGTHS)
+    part = lambda at, n: F.coalesce(F.substring(clock, at, n).try_cast("int"), F.lit(0))
+    hour, minute, second = part(1, 2), part(4, 2), part(7, 2)
+    fraction = F.coalesce(F.rpad(F.substring(clock, 10, 9), 9, "0").try_cast("long"), F.lit(0))
+    time = F.when(timed & (hour <= 23) & (minute <= 59) & (second <= 60), (hour * 3600 + minute * 60 + second).cast("long") * 1_000_000_000 + fraction)
+    date = F.unix_date(F.concat(F.substring(bare, 1, 4), F.lit("-"), F.substring(bare, 5, 2), F.lit("-"), F.substring(bare, 7, 2)).try_cast("date")).cast("long") * DAY
     base = F.lit(0) if day is None else F.coalesce(day - F.pmod(day, F.lit(DAY)), F.lit(0))
-    clock = (num(4) * 3600 + num(5) * 60 + num(6)).cast("long") * 1_000_000_000 + F.rpad(part(7), 9, "0").cast("long")
-    ok = text.rlike(_STAMP) & (has_date | has_time) & (num(4) <= 23) & (num(5) <= 59) & (num(6) <= 60)
-    return F.when(ok, F.when(has_date, date * DAY).otherwise(base) + F.when(has_time, clock).otherwise(0))
+    return F.when(dated & whole, date).when(dated & joined, date + time).when(~dated, base + time)
+
+
+@lru_cache(10_000)
+def _day_of(text: str) -> int | None:
+    """Nanoseconds of ``YYYYMMDD``."""
+    try:
+        return (Date(int(text[:4]), int(text[4:6]), int(text[6:])).toordinal() - _EPOCH) * DAY
+    except ValueError:
+        return None
+
+
+def nanos_of(text: str | None, day: int | None = None) -> int | None:
+    """:func:`nanos` of one text."""
+    if not text:
+        return None
+    bare = text.strip(" \t")
+    bare = bare[:-1].rstrip(" \t") if bare.endswith("Z") else bare
+    dated = len(bare) >= 8 and bare[:8].isascii() and bare[:8].isdigit()
+    date = _day_of(bare[:8]) if dated else 0 if day is None else day - day % DAY
+    if dated and len(bare) == 8:
+        return date
+    if date is None or dated and bare[8] not in "-T ":
+        return None
+    clock = bare[9:] if dated else bare
+    if len(clock) not in _CLOCK_LENGTHS or not _CLOCK.startswith(clock.translate(_AS_ZERO)):
+        return None
+    hour, minute, second = int(clock[:2]), int(clock[3:5]), int(clock[6:8] or 0)
+    if hour > 23 or minute > 59 or second > 60:
+        return None
+    return date + (hour * 3600 + minute * 60 + second) * 1_000_000_000 + int(clock[9:].ljust(9, "0"))
 
 
 def date(text: Column) -> Column:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,18 +21,48 @@ REPORT, TRADE_REPORT = "8", "AE"
 MARKET_DATA = ("W", "X")
 ENTRY = (269, 270, 271, 272, 273, 278, 279, 346, 276, 277, 55, 48, 22, 15, 207)
 TRADED = ("F", "1", "2", "G", "H")
-_CLAIMED = ("8 9 10 34 35 49 56 52 122 42 43 60 126 432 55 48 22 167 461 207 100 15 231 969 561 541 200 202 201 107 454 455 456 555 54 44 38 40 59 99 111 14 151 6 37 11 41 103 102 58 31 32 150 17 1003 880 1057 378 39 268 269 270 271 272 273 278 279 346 30").split()
+#: fixed values: tags that have a column of their own
+_CLAIMED = frozenset((
+    "8", "9", "10", "34", "35", "49", "56", "52", "122", "42", "43", "60", "126", "432", "55", "48", "22", "167", "461", "207", "100", "15", "231",
+    "969", "561", "541", "200", "202", "201", "107", "454", "455", "456", "555", "54", "44", "38", "40", "59", "99", "111", "14", "151", "6", "37",
+    "11", "41", "103", "102", "58", "31", "32", "150", "17", "1003", "880", "1057", "378", "39", "268", "269", "270", "271", "272", "273", "278",
+    "279", "346", "30",
+))
 
 
-def _of(m: Column, *keys: str | int) -> Column:
-    return F.coalesce(*[F.try_element_at(m, F.lit(str(k))) for k in keys])
+#: Tags that events are made of: the fields of a role's values.
+_READ = (
+    6, 11, 14, 15, 17, 22, 30, 31, 32, 34, 35, 37, 38, 39, 40, 41, 42, 44, 48, 49, 52, 54, 55, 58, 59, 60, 99, 100, 102, 103, 107, 111, 122, 126, 150, 151, 167, 200, 201, 202, 207, 231,
+    268, 269, 270, 271, 272, 273, 278, 279, 346, 378, 432, 461, 541, 561, 880, 969, 1003, 1057,
+)
 
 
-def instant(m: Column) -> Column:
+def _of(m: Column, *tags: int) -> Column:
+    return F.coalesce(*[m.getField(f"t{t}") for t in tags])
+
+
+def instant(m: dict[str, str]) -> int:
     """The instant a message tells of: of the transaction, of a market-data entry, of origin, of first sending, of sending; else 0."""
-    sent = V.nanos(_of(m, 52))
-    entry = F.coalesce(V.nanos(F.concat(_of(m, 272), F.lit("-"), _of(m, 273))), V.nanos(_of(m, 272)), V.nanos(_of(m, 273), sent))
-    return F.coalesce(V.nanos(_of(m, 60)), entry, V.nanos(_of(m, 42)), V.nanos(_of(m, 122)), sent, F.lit(0).cast("long"))
+    get, read = m.get, V.nanos_of
+    if (told := read(get("60"))) is not None:
+        return told
+    sent, day, clock = read(get("52")), get("272"), get("273")
+    if day or clock:
+        for told in (read(f"{day}-{clock}") if day and clock else None, read(day), read(clock, sent)):
+            if told is not None:
+                return told
+    for told in (read(get("42")), read(get("122")), sent):
+        if told is not None:
+            return told
+    return 0
+
+
+def expiry(m: dict[str, str]) -> int | None:
+    """The expiry instant, else the last nanosecond of the expiry date."""
+    told = V.nanos_of(m.get("126"))
+    if told is None and (day := V.nanos_of(m.get("432"))) is not None:
+        told = day + V.DAY - 1
+    return told
 
 
 def message_type(m: Column) -> Column:
@@ -52,8 +84,8 @@ def instrument(m: Column, alt: Column) -> Column:
 def _shared(m: Column, alt: Column, venue: str | None) -> dict[str, Column]:
     """What all rows have; computed once, before anything is decided by role."""
     return {
-        "eunix": V.expires(_of(m, 126), _of(m, 432)), "seq": V.integer(_of(m, 34)), "symbol": F.coalesce(_of(m, 55), F.lit("")), "venue": F.coalesce(F.lit(venue), _of(m, 30, 207, 49)),
-        "px_unit": F.coalesce(_of(m, 15), F.lit("")), "instrument": instrument(m, alt), "metadata": F.map_filter(m, lambda k, v: ~k.isin(*_CLAIMED)),
+        "eunix": F.col("eunix"), "seq": V.integer(_of(m, 34)), "symbol": F.coalesce(_of(m, 55), F.lit("")), "venue": F.coalesce(F.lit(venue), _of(m, 30, 207, 49)),
+        "px_unit": F.coalesce(_of(m, 15), F.lit("")), "instrument": instrument(m, alt), "metadata": F.col("others"),
     }
 
 
@@ -138,9 +170,7 @@ def alternatives(pairs: list[tuple[str, str]]) -> dict[str, str]:
 def maps_of(pairs: list[tuple[str, str]]) -> list[tuple[dict[str, str], dict[str, str]]]:
     """The first values of a message by key, and its alternative identifiers; of market data those of each entry, the header beneath
     them. An entry that names an instrument has only its own alternatives. The type is always there as 35."""
-    first: dict[str, str] = {}
-    for k, v in pairs:
-        first.setdefault(k, v)
+    first = dict(reversed(pairs))
     kind = first.get("35") or ("X" if "268" in first else "8" if "17" in first or "150" in first else "D" if "11" in first else None)
     if kind is None:
         return []
@@ -198,13 +228,41 @@ def roles_of(pairs: list[tuple[str, str]]) -> list[tuple[int, str, dict[str, str
 
 
 _MAP = T.MapType(T.StringType(), T.StringType())
-_ROLE = pa.list_(pa.struct([("pos", pa.int32()), ("role", pa.string()), ("m", pa.map_(pa.string(), pa.string())), ("alt", pa.map_(pa.string(), pa.string()))]))
+_MAP_ARROW = pa.map_(pa.string(), pa.string())
+_VALUES = T.StructType([T.StructField(f"t{t}", T.StringType()) for t in _READ])
+ROLE = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("unix", T.LongType()), T.StructField("eunix", T.LongType()), T.StructField("m", _VALUES), T.StructField("alt", _MAP), T.StructField("others", _MAP)]))
+
 
+def pairs_by_row(pairs: pa.Array) -> Iterator[list[tuple[str, str]] | None]:
+    """The pairs of each row, from whole columns of keys and values."""
+    flat = pairs.flatten()
+    both = list(zip(pc.struct_field(flat, "key").to_pylist(), pc.struct_field(flat, "value").to_pylist()))
+    at = 0
+    for n in pc.list_value_length(pairs).to_pylist():
+        yield None if n is None else both[at : at + n]
+        at += n or 0
 
-@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("m", _MAP), T.StructField("alt", _MAP)])))
+
+@F.arrow_udf(ROLE)
 def _roles(pairs: pa.Array) -> pa.Array:
-    out = [None if row is None else [{"pos": i, "role": r, "m": list(m.items()), "alt": list(alt.items()) or None} for i, r, m, alt in roles_of([(p["key"], p["value"]) for p in row])] for row in pairs.to_pylist()]
-    return pa.array(out, _ROLE)
+    """What each message gives, its values as one column for each tag."""
+    ends, pos, roles, unix, eunix, alts, others = [0], [], [], [], [], [], []
+    values: list[list[str | None]] = [[] for _ in _READ]
+    columns = list(zip(map(str, _READ), values))
+    for row in pairs_by_row(pairs):
+        for i, role, m, alt in roles_of(row) if row else ():
+            pos.append(i), roles.append(role), unix.append(instant(m)), eunix.append(expiry(m))
+            for tag, column in columns:
+                column.append(m.get(tag))
+            alts.append(list(alt.items()) or None)
+            others.append([(k, v) for k, v in m.items() if k not in _CLAIMED])
+        ends.append(len(pos))
+    m = pa.StructArray.from_arrays([pa.array(v, pa.string()) for v in values], [f"t{t}" for t in _READ])
+    rows = pa.StructArray.from_arrays(
+        [pa.array(pos, pa.int32()), pa.array(roles, pa.string()), pa.array(unix, pa.int64()), pa.array(eunix, pa.int64()), m, pa.array(alts, _MAP_ARROW), pa.array(others, _MAP_ARROW)],
+        ["pos", "role", "unix", "eunix", "m", "alt", "others"],
+    )
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
 def events(df: DataFrame, pairs: str = "pairs", venue: str | None = None) -> DataFrame:
@@ -215,5 +273,5 @@ def events(df: DataFrame, pairs: str = "pairs", venue: str | None = None) -> Dat
     m = F.col("m")
     shared = _shared(m, F.col("alt"), venue)
     event = F.when(F.col("role") == "entry", _entry(m)).when(F.col("role") == "execution", _execution(m)).otherwise(_order(m))
-    rows = rows.withColumns({"unix": instant(m), **shared, "_event": event}).withColumn("unix_hour", V.hour_of(F.col("unix")))
+    rows = rows.withColumns({**shared, "_event": event}).withColumn("unix_hour", V.hour_of(F.col("unix")))
     return rows.select(*keep, "pos", "unix", "unix_hour", *shared, "_event.*")

@@ -73,6 +73,9 @@ _LINKS = """links AS (
   FROM market_order WHERE hash IS NOT NULL GROUP BY hash),
 known AS (SELECT l.node, p.node AS up FROM links l LEFT JOIN links p ON l.up = p.node)"""
 
+#: A quotation, in SQL.
+_QUOTED = '"(?:[^"]|"")*"|' + "''(?:[^'']|'''')*''"
+
 SQL = {
     "p1_found": """
 SELECT 'book_side' AS tbl, symbol FROM book_side WHERE symbol IS NOT NULL GROUP BY symbol HAVING count(*) * 100 >= 3 * (SELECT count(*) FROM book_side)
@@ -117,6 +120,20 @@ SELECT node AS hash, path FROM down""",
     "p6_found": """
 SELECT row_id, CASE WHEN runix >= e + 7200000000000 OR coalesce(runix >= eunix, false) THEN 'dropped' ELSE 'corrects' END AS fate
 FROM (SELECT *, unix - ((unix % 3600000000000) + 3600000000000) % 3600000000000 + 3600000000000 AS e FROM log_lines) WHERE runix >= e""",
+    "p7_found": rf"""
+WITH f AS (
+  SELECT row_id, 'fix_tags' AS field, CAST(i - 1 AS INTEGER) AS item_no, 0 AS part, t.value AS text FROM (SELECT row_id, unnest(fix_tags) AS t, generate_subscripts(fix_tags, 1) AS i FROM log_lines) WHERE t.tag IN (18, 276, 277)
+  UNION ALL SELECT row_id, 'keyval', CAST(i - 1 AS INTEGER), 0, t.value FROM (SELECT row_id, unnest(keyval) AS t, generate_subscripts(keyval, 1) AS i FROM log_lines) WHERE upper(t.key) LIKE '%LIST'
+  UNION ALL SELECT row_id, 'message', 0, part, text FROM (SELECT row_id, unnest(l) AS text, generate_subscripts(l, 1) AS part FROM (SELECT row_id, regexp_extract_all(message, '\{{((?:[^}}"'']|{_QUOTED})*)\}}', 1) AS l FROM log_lines))),
+g AS (SELECT row_id, field, item_no, part, regexp_replace(text, '^\s+|\s+$', '', 'g') AS body FROM f WHERE regexp_matches(text, '\S')),
+t AS (SELECT row_id, field, item_no, part, unnest(l) AS tok, generate_subscripts(l, 1) AS k FROM (SELECT *, regexp_extract_all(body, '(?s){_QUOTED}|[\pL\pN._:\-]+|\s*\|\|\s*|\s*[^\pL\pN._:\-\s"'']\s*|\s+|.') AS l FROM g)),
+c AS (SELECT *, regexp_full_match(tok, '(?s){_QUOTED}|[\pL\pN._:\-]+') AS is_value FROM t),
+b AS (SELECT *, lag(is_value) OVER (PARTITION BY row_id, field, item_no, part ORDER BY k) AS was FROM c),
+s AS (SELECT *, sum(CASE WHEN NOT is_value OR (was AND is_value) THEN 1 ELSE 0 END) OVER (PARTITION BY row_id, field, item_no, part ORDER BY k) AS slot FROM b),
+v AS (SELECT row_id, field, item_no, part, slot, max(tok) FILTER (is_value) AS tok FROM (SELECT row_id, field, item_no, part, slot, tok, is_value FROM s UNION ALL SELECT row_id, field, item_no, part, 0, NULL, false FROM g) GROUP BY ALL)
+SELECT row_id, field, item_no, CAST(row_number() OVER (PARTITION BY row_id, field, item_no ORDER BY part, slot) - 1 AS INTEGER) AS pos,
+  CASE left(tok, 1) WHEN '"' THEN replace(substr(tok, 2, length(tok) - 2), '""', '"') WHEN '''' THEN replace(substr(tok, 2, length(tok) - 2), '''''', '''') ELSE coalesce(tok, '') END AS value
+FROM v""",
     "p6_revisions": """
 WITH p AS (SELECT unix - ((unix % 3600000000000) + 3600000000000) % 3600000000000 AS h, runix - ((runix % 3600000000000) + 3600000000000) % 3600000000000 AS a, unix, runix, eunix, order_qty AS value FROM log_lines),
 k AS (SELECT h AS event_period, greatest(a, h) AS arrival_period, value FROM p

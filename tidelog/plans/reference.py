@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from tidelog.functions import classify, codes, ident, tags
 from tidelog.functions import values as V
 from tidelog.operators import book, events, joins, lifecycle
-from tidelog.runtime import scan, settled, shared_dir
-from tidelog.shapes import PRIMARY, SORT, Shape, cast_onto
+from tidelog.runtime import scan, settled, shared_dir, spread
+from tidelog.shapes import PARTITION, PRIMARY, SORT, Shape, cast_onto
 from tidelog.sources import dictionary, logs
 from tidelog.sources.store import Table
 
@@ -88,7 +88,7 @@ SELECT row_id, CAST(CASE WHEN regexp_matches(message, '35=8(\D|$)|ExecutionRepor
   WHEN regexp_matches(message, '35=[SR](\D|$)|Quote(Request)?\b') THEN 120 WHEN regexp_matches(message, '35=d(\D|$)|SecurityDefinition') THEN 410 ELSE 0 END AS INTEGER) AS etype
 FROM log_lines""")
 def classify_event_type(spark: SparkSession, d: str) -> DataFrame:
-    return scan(spark, d, "log_lines").select("row_id", classify.event_type(F.col("message")).alias("etype"))
+    return spread(scan(spark, d, "log_lines").select("row_id", "message")).select("row_id", classify.event_type(F.col("message")).alias("etype"))
 
 
 _PROTOCOL = r"""CASE WHEN regexp_matches(message, '(?s)(?:^|[^0-9])8=FIXT?.*[^0-9]35=UL(?:[^A-Za-z0-9]|$)') THEN 'UL'
@@ -98,82 +98,145 @@ _PROTOCOL = r"""CASE WHEN regexp_matches(message, '(?s)(?:^|[^0-9])8=FIXT?.*[^0-
 
 @query(f"SELECT row_id, {_PROTOCOL} AS protocol FROM log_lines")
 def classify_protocol(spark: SparkSession, d: str) -> DataFrame:
-    return scan(spark, d, "log_lines").select("row_id", classify.protocol(F.col("message")).alias("protocol"))
+    return spread(scan(spark, d, "log_lines").select("row_id", "message")).select("row_id", classify.protocol(F.col("message")).alias("protocol"))
 
 
-_SEPARATOR = r"""CASE WHEN regexp_extract(message, '(?s)(?:^|[^0-9])8=FIXT?[^\x01|;^ \t\r\n\f\x0b]*(\^A|[^\s])', 1) <> ''
+_NAME, _TOKEN = tags.NAME, r"#[A-Za-z][A-Za-z0-9_.\-]*(?:\[\d+\])?\s*="
+_SEPARATOR = rf"""CASE WHEN protocol = 'UL' THEN CASE WHEN regexp_extract(message, '(?s){_TOKEN}.*?(\^A|.){_TOKEN}', 1) IN ('|', '^A', '^', ';', chr(1)) THEN regexp_extract(message, '(?s){_TOKEN}.*?(\^A|.){_TOKEN}', 1) ELSE '#' END
+  WHEN regexp_extract(message, '(?s)(?:^|[^0-9])8=FIXT?[^\x01|;^ \t\r\n\f\x0b]*(\^A|[^\s])', 1) <> ''
   THEN regexp_extract(message, '(?s)(?:^|[^0-9])8=FIXT?[^\x01|;^ \t\r\n\f\x0b]*(\^A|[^\s])', 1) ELSE chr(1) END"""
 
 
-@query(f"SELECT row_id, {_SEPARATOR} AS separator FROM log_lines WHERE protocol = 'FIX'")
+def _messages(spark: SparkSession, d: str, *columns: str, where: str = "protocol <> 'OTHER'") -> DataFrame:
+    return spread(scan(spark, d, "log_lines").where(where).select("row_id", *columns, "message"))
+
+
+@query(f"SELECT row_id, {_SEPARATOR} AS separator FROM log_lines WHERE protocol <> 'OTHER'")
 def detect_separator(spark: SparkSession, d: str) -> DataFrame:
-    return scan(spark, d, "log_lines").where("protocol = 'FIX'").select("row_id", tags.separator(F.col("message")).alias("separator"))
+    return _messages(spark, d).select("row_id", tags.separator(F.col("message")).alias("separator"))
 
 
-_PAIRS = rf"""bodies AS (SELECT row_id, {_SEPARATOR} AS sep, regexp_extract(message, '(?s)(?:^|[^0-9])(8=FIXT?.*)', 1) AS body FROM log_lines WHERE protocol = 'FIX'),
-kept AS (SELECT row_id, list_filter(string_split(body, sep), lambda t: regexp_matches(t, '(?s)^\s*\d+\s*=')) AS toks FROM bodies),
-keyed AS (SELECT row_id, list_transform(toks, lambda t: trim(split_part(t, '=', 1))) AS ks, list_transform(toks, lambda t: regexp_replace(regexp_replace(t, '(?s)^[^=]*=', ''), '^\s+|\s+$', '', 'g')) AS vs FROM kept),
+#: The pairs of every message: wire messages up to the checksum, rendered ones from their first name on.
+_PAIRS = rf"""bodies AS (
+  SELECT row_id, protocol = 'UL' AS named, {_SEPARATOR} AS sep, CASE WHEN protocol = 'UL' THEN regexp_extract(message, '(?s)({_TOKEN}.*)', 1) ELSE regexp_extract(message, '(?s)(?:^|[^0-9])(8=FIXT?.*)', 1) END AS body
+  FROM log_lines WHERE protocol <> 'OTHER'),
+kept AS (SELECT row_id, named, list_filter(string_split(body, sep), lambda t: regexp_matches(t, '(?s)^\s*\d+\s*=') OR (named AND regexp_matches(t, '(?s)^\s*#?{_NAME}\s*='))) AS toks FROM bodies),
+keyed AS (SELECT row_id, list_transform(toks, lambda t: ltrim(trim(split_part(t, '=', 1)), '#')) AS ks, list_transform(toks, lambda t: regexp_replace(regexp_replace(t, '(?s)^[^=]*=', ''), '^\s+|\s+$', '', 'g')) AS vs FROM kept),
 cut AS (SELECT row_id, ks, vs, CASE WHEN list_contains(ks, '10') THEN list_position(ks, '10') ELSE len(ks) END AS n FROM keyed),
 pairs AS (SELECT row_id, unnest(range(n)) AS pos, unnest(ks[1:n]) AS key, unnest(vs[1:n]) AS value FROM cut)"""
 
+#: Pairs with a value by their tag, null if there is none.
+_TAGGED = f"""names AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {t})" for n, t in tags.TAG_OF.items())}) AS v(name, tag)),
+tagged AS (SELECT row_id, pos, key, value, coalesce(TRY_CAST(CASE WHEN regexp_matches(key, '^[0-9]+$') THEN key END AS INTEGER), names.tag) AS tag FROM pairs LEFT JOIN names ON lower(key) = name
+  WHERE lower(trim(value)) NOT IN ({", ".join(f"'{w}'" for w in V.NULL_WORDS)}))"""
+
 
 def _parsed(spark: SparkSession, d: str, where: str = "protocol <> 'OTHER'") -> DataFrame:
-    rows = scan(spark, d, "log_lines").where(where).select("row_id", "unix", "protocol", "message")
-    return tags.parse(rows, named=F.col("protocol") == "UL")
+    return tags.parse(_messages(spark, d, "unix", "protocol", where=where), named=F.col("protocol") == "UL")
 
 
 @query(f"WITH {_PAIRS} SELECT row_id, CAST(pos AS INTEGER) AS pos, key, value FROM pairs")
 def parse_pairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = tags.parse(scan(spark, d, "log_lines").where("protocol = 'FIX'").select("row_id", "message"))
-    return rows.select("row_id", F.posexplode("pairs").alias("pos", "p")).select("row_id", "pos", "p.key", "p.value")
+    return _parsed(spark, d).select("row_id", F.posexplode("pairs").alias("pos", "p")).select("row_id", "pos", "p.key", "p.value")
 
 
-_LIFTS = "begin_string, msg_type, check_sum, sender_comp_id, target_comp_id, poss_dup_flag, poss_resend, sending_unix, cl_ord_id, order_id, exec_id, side, ord_type, order_qty, price, cum_qty, leaves_qty, last_px, last_qty, transact_unix, currency, account"
-_LIFT_CHECK = [n for n in _LIFTS.split(", ") if n not in ("sender_comp_id", "sending_unix", "poss_dup_flag", "poss_resend", "check_sum", "transact_unix")]
+_NANOS = """CASE WHEN regexp_full_match({v}, '\\d{{8}}-\\d\\d:\\d\\d:\\d\\d(\\.\\d{{1,9}})?') THEN epoch_us(try_strptime(substr({v}, 1, 17), '%Y%m%d-%H:%M:%S')) * 1000 + CAST(rpad(substr({v}, 19), 9, '0') AS BIGINT)
+  WHEN regexp_full_match({v}, '\\d{{8}}') THEN epoch_us(try_strptime({v}, '%Y%m%d')) * 1000 END"""
+_READ = {
+    "S": "{v}", "L": "TRY_CAST(CASE WHEN regexp_full_match({v}, '[+-]?[0-9]+') THEN {v} END AS BIGINT)", "D": "TRY_CAST(CASE WHEN regexp_full_match({v}, '[+-]?[0-9]*[.]?[0-9]*([eE][+-]?[0-9]+)?') THEN {v} END AS DOUBLE)", "X": "hex(encode({v}))", "N": _NANOS,
+    "B": "CASE WHEN lower(trim({v})) IN ('y', 'yes', 'true', 't', '1', 'on', 'oui', 'si', 'ja', 'da') THEN true WHEN lower(trim({v})) IN ('n', 'no', 'false', 'f', '0', 'off', 'non', 'nein', 'nej') THEN false END",
+}
 
 
-@query(f"SELECT row_id, {', '.join(_LIFT_CHECK)} FROM log_lines WHERE protocol <> 'OTHER'")
+@query(f"""WITH {_PAIRS}, {_TAGGED}, once AS (SELECT row_id, tag, max(value) AS value FROM tagged GROUP BY row_id, tag HAVING count(*) = 1),
+wide AS (SELECT b.row_id, {", ".join(f"max(value) FILTER (tag = {t}) AS t{t}" for t, _, _ in tags.LIFTED)} FROM bodies b LEFT JOIN once ON b.row_id = once.row_id GROUP BY b.row_id)
+SELECT row_id, {", ".join(f"{_READ[k].format(v=f't{t}')} AS {n}" for t, n, k in tags.LIFTED)} FROM wide""")
 def lift_columns(spark: SparkSession, d: str) -> DataFrame:
-    return tags.lift(_parsed(spark, d)).select("row_id", *_LIFT_CHECK)
+    lifted = [F.hex(n).alias(n) if k == "X" else F.col(n) for _, n, k in tags.LIFTED]
+    return tags.lift(_parsed(spark, d)).select("row_id", *lifted)
 
 
-@query("SELECT row_id, CAST(i - 1 AS INTEGER) AS pos, t.tag AS tag, trim(t.value) AS value FROM (SELECT row_id, unnest(fix_tags) AS t, generate_subscripts(fix_tags, 1) AS i FROM log_lines WHERE protocol <> 'OTHER')")
+@query(f"""WITH {_PAIRS}, {_TAGGED}, many AS (SELECT row_id, pos, tag, value, count(*) OVER (PARTITION BY row_id, tag) AS n FROM tagged WHERE tag IS NOT NULL)
+SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY pos) - 1 AS INTEGER) AS pos, tag, value FROM many WHERE NOT (n = 1 AND tag IN ({", ".join(str(t) for t, _, _ in tags.LIFTED)}))""")
 def tags_left(spark: SparkSession, d: str) -> DataFrame:
     rows = tags.lift(_parsed(spark, d))
-    return rows.select("row_id", F.posexplode("fix_tags").alias("pos", "t")).select("row_id", "pos", "t.tag", F.trim("t.value").alias("value"))
+    return rows.select("row_id", F.posexplode("fix_tags").alias("pos", "t")).select("row_id", "pos", "t.tag", "t.value")
+
+
+@query(f"""WITH {_PAIRS}, {_TAGGED} SELECT row_id, CAST(row_number() OVER (PARTITION BY row_id ORDER BY pos) - 1 AS INTEGER) AS pos, regexp_replace(key, '\\[\\d+\\]', '', 'g') AS key, value FROM tagged WHERE tag IS NULL""")
+def keys_left(spark: SparkSession, d: str) -> DataFrame:
+    rows = tags.lift(_parsed(spark, d))
+    return rows.select("row_id", F.posexplode("keyval").alias("pos", "t")).select("row_id", "pos", "t.key", "t.value")
+
 
+#: Of the messages of market data the values of each entry, which its action opens, else its type.
+_ENTRIES = """openers AS (SELECT row_id, CASE WHEN bool_or(tag = 279) THEN 279 ELSE 269 END AS opener FROM tagged GROUP BY row_id HAVING bool_or(tag = 35 AND value IN ('W', 'X'))),
+opened AS (SELECT row_id, pos, tag, value, count(*) FILTER (tag = opener) OVER (PARTITION BY row_id ORDER BY pos) - 1 AS entry FROM tagged JOIN openers USING (row_id)),
+entries AS (SELECT row_id, entry, max(value) FILTER (tag = 269) AS kind, max(value) FILTER (tag = 270) AS px, max(value) FILTER (tag = 271) AS qty, max(value) FILTER (tag = 278) AS id, max(value) FILTER (tag = 279) AS action,
+  max(value) FILTER (tag = 272) AS day, max(value) FILTER (tag = 273) AS clock FROM opened WHERE entry >= 0 GROUP BY row_id, entry)"""
 
-@query("""SELECT row_id, CAST(i - 1 AS INTEGER) AS entry, kind, CAST(px AS DOUBLE) AS px, CAST(qty AS DOUBLE) AS qty FROM (
-  SELECT row_id, unnest(list_transform(list_filter(fix_tags, lambda x: x.tag = 269), lambda x: x.value)) AS kind, unnest(list_transform(list_filter(fix_tags, lambda x: x.tag = 270), lambda x: x.value)) AS px,
-    unnest(list_transform(list_filter(fix_tags, lambda x: x.tag = 271), lambda x: x.value)) AS qty, generate_subscripts(list_filter(fix_tags, lambda x: x.tag = 269), 1) AS i
-  FROM log_lines WHERE msg_type IN ('W', 'X') AND protocol = 'FIX')""")
+
+@query(f"WITH {_PAIRS}, {_TAGGED}, {_ENTRIES} SELECT row_id, CAST(entry AS INTEGER) AS entry, kind, CAST(px AS DOUBLE) AS px, CAST(qty AS DOUBLE) AS qty FROM entries")
 def market_data_entries(spark: SparkSession, d: str) -> DataFrame:
-    rows = _parsed(spark, d, "protocol = 'FIX' and msg_type in ('W', 'X')").select("row_id", F.posexplode(tags.group(F.col("pairs"), 268, events.ENTRY)).alias("entry", "e"))
+    rows = _parsed(spark, d).where(tags.value_of(F.col("pairs"), 35).isin("W", "X")).select("row_id", F.posexplode(tags.group(F.col("pairs"), 268, events.ENTRY)).alias("entry", "e"))
     return rows.select("row_id", "entry", tags.value_of(F.col("e"), 269).alias("kind"), V.number(tags.value_of(F.col("e"), 270)).alias("px"), V.number(tags.value_of(F.col("e"), 271)).alias("qty"))
 
 
-@query("""
-SELECT row_id, 110 AS etype, CASE WHEN msg_type = '8' THEN price ELSE price END AS px, order_qty AS qty, cl_ord_id AS client_order_id FROM log_lines WHERE protocol = 'FIX' AND msg_type IN ('D', 'F', 'G', '9', '8')
-UNION ALL SELECT row_id, 210, last_px, last_qty, cl_ord_id FROM log_lines WHERE protocol = 'FIX' AND msg_type = '8' AND exec_type IN ('F', '1', '2', 'G', 'H')
-UNION ALL SELECT row_id, CASE WHEN kind = '2' THEN 210 ELSE 110 END, CAST(px AS DOUBLE), CAST(qty AS DOUBLE), NULL FROM (
-  SELECT row_id, unnest(list_transform(list_filter(fix_tags, lambda x: x.tag = 269), lambda x: x.value)) AS kind, unnest(list_transform(list_filter(fix_tags, lambda x: x.tag = 270), lambda x: x.value)) AS px,
-    unnest(list_transform(list_filter(fix_tags, lambda x: x.tag = 271), lambda x: x.value)) AS qty FROM log_lines WHERE msg_type IN ('W', 'X') AND protocol = 'FIX')""")
+def _wire(kind: str, value: str) -> str:
+    """The code of a wire character in SQL."""
+    return f"coalesce(CASE {value} {' '.join(f'WHEN {chr(39)}{w}{chr(39)} THEN {c}' for c, w in codes.WIRE[kind].items())} END, 0)"
+
+
+_EVENT_TAGS = (6, 11, 14, 17, 30, 31, 32, 34, 35, 37, 38, 39, 40, 41, 42, 44, 49, 52, 54, 55, 58, 59, 60, 99, 102, 103, 111, 122, 126, 150, 151, 207, 268, 378, 432, 880, 1003, 1057)
+_EVENT = "etype, state, side, px, qty, kind, tif, stop_px, display_qty, filled_qty, leaves_qty, avg_px, order_id, client_order_id, prev_client_order_id, reason_code, reason, exec_id, trade_id, aggressor".split(", ")
+_HEAD = "pos, unix, unix_hour, eunix, seq, symbol, venue".split(", ")
+
+
+def _number(t: int) -> str:
+    return _READ["D"].format(v=f"t{t}")
+
+
+_EVENTS = f"""firsts AS (SELECT row_id, tag, arg_min(value, pos) AS value FROM tagged WHERE tag IS NOT NULL GROUP BY row_id, tag),
+m0 AS (SELECT row_id, {", ".join(f"max(value) FILTER (tag = {t}) AS t{t}" for t in _EVENT_TAGS)} FROM firsts GROUP BY row_id),
+m AS (SELECT *, coalesce(t35, CASE WHEN t268 IS NOT NULL THEN 'X' WHEN t17 IS NOT NULL OR t150 IS NOT NULL THEN '8' WHEN t11 IS NOT NULL THEN 'D' END) AS type, {_NANOS.format(v="t52")} AS sent,
+  coalesce({_NANOS.format(v="t126")}, {_NANOS.format(v="t432")} + 86399999999999) AS eunix, {_READ["L"].format(v="t34")} AS seq, coalesce(t55, '') AS symbol, coalesce(t30, t207, t49) AS venue FROM m0),
+told AS (SELECT *, {_NANOS.format(v="t60")} AS transacted, coalesce({_NANOS.format(v="t42")}, {_NANOS.format(v="t122")}, sent) AS sent_at FROM m),
+rows AS (
+  SELECT row_id, 0 AS pos, coalesce(transacted, sent_at, 0) AS unix, eunix, seq, symbol, venue, 110 AS etype,
+    CASE type WHEN 'D' THEN 110 WHEN 'F' THEN 240 WHEN 'G' THEN 230 WHEN '8' THEN {_wire("State", "t39")} ELSE 0 END AS state, {_wire("Side", "t54")} AS side, {_number(44)} AS px, {_number(38)} AS qty,
+    {_wire("OrderKind", "t40")} AS kind, {_wire("TimeInForce", "t59")} AS tif, {_number(99)} AS stop_px, {_number(111)} AS display_qty, {_number(14)} AS filled_qty, {_number(151)} AS leaves_qty, {_number(6)} AS avg_px, t37 AS order_id,
+    t11 AS client_order_id, t41 AS prev_client_order_id, TRY_CAST(coalesce(t103, t102) AS INTEGER) AS reason_code, t58 AS reason, CAST(NULL AS VARCHAR) AS exec_id, CAST(NULL AS VARCHAR) AS trade_id, CAST(NULL AS BOOLEAN) AS aggressor
+  FROM told WHERE type IN ('D', 'F', 'G', '9', '8')
+  UNION ALL
+  SELECT row_id, CASE type WHEN '8' THEN 1 ELSE 0 END, coalesce(transacted, sent_at, 0), eunix, seq, symbol, venue, 210,
+    CASE WHEN t150 IN ('F', '1', '2') THEN 410 WHEN t150 = 'G' THEN 520 WHEN t150 = 'H' THEN 510 ELSE {_wire("State", "t150")} END, {_wire("Side", "t54")}, {_number(31)}, {_number(32)},
+    {_wire("ExecKind", "t150")}, 0, NULL, NULL, {_number(14)}, {_number(151)}, {_number(6)}, t37, t11, NULL, TRY_CAST(t378 AS INTEGER), t58, t17, coalesce(t1003, t880), CASE upper(left(trim(t1057), 1)) WHEN 'Y' THEN true WHEN 'N' THEN false END
+  FROM told WHERE type = 'AE' OR (type = '8' AND t150 IN ('F', '1', '2', 'G', 'H'))
+  UNION ALL
+  SELECT row_id, 2 * entry, coalesce(transacted, {_NANOS.format(v="day || '-' || clock")}, {_NANOS.format(v="day")}, CASE WHEN clock IS NULL THEN NULL WHEN sent IS NULL THEN 0 ELSE sent - sent % 86400000000000 END + epoch_us(try_strptime('19700101 ' || substr(clock, 1, 8), '%Y%m%d %H:%M:%S')) * 1000
+      + CAST(rpad(substr(clock, 10), 9, '0') AS BIGINT), sent_at, 0), eunix, seq, symbol, venue, CASE kind WHEN '2' THEN 210 ELSE 110 END,
+    CASE WHEN kind = '2' THEN 410 WHEN a = 110 THEN 210 WHEN a >= 200 THEN 510 ELSE 200 END, CASE kind WHEN '0' THEN 100 WHEN '1' THEN 200 ELSE 0 END, TRY_CAST(px AS DOUBLE), TRY_CAST(qty AS DOUBLE), CASE kind WHEN '2' THEN 310 ELSE 210 END, 0, NULL, NULL, NULL, NULL, NULL,
+    CASE WHEN kind <> '2' THEN coalesce(id, CASE kind WHEN '0' THEN 'BUY@' ELSE 'SELL@' END || px) END, NULL, NULL, NULL, t58, CASE WHEN kind = '2' THEN id END, NULL, NULL
+  FROM (SELECT *, {_wire("UpdateAction", "coalesce(action, CASE type WHEN 'W' THEN '0' END)")} AS a FROM entries JOIN told USING (row_id)) WHERE kind IN ('0', '1', '2'))"""
+
+
+@query(f"WITH {_PAIRS}, {_TAGGED}, {_ENTRIES}, {_EVENTS} SELECT row_id, {', '.join(c if c != 'unix_hour' else 'unix - unix % 3600000000000 AS unix_hour' for c in _HEAD + _EVENT)} FROM rows")
 def events_from_messages(spark: SparkSession, d: str) -> DataFrame:
-    rows = _parsed(spark, d, "protocol = 'FIX'").select("row_id", tags.from_pairs(F.col("pairs")).alias("pairs"))
-    return events.events(rows).select("row_id", "etype", "px", "qty", "client_order_id")
+    rows = _parsed(spark, d).select("row_id", tags.from_pairs(tags.drop_null_values(F.col("pairs"))).alias("pairs"))
+    return events.events(rows).select("row_id", *_HEAD, *_EVENT)
 
 
 @query(f"SELECT cast(sum(CASE WHEN protocol = 'UL' THEN 1 ELSE 0 END) AS BIGINT) AS named, count(*) AS messages FROM log_lines WHERE ({_PROTOCOL}) <> 'OTHER'")
 def message_counts(spark: SparkSession, d: str) -> DataFrame:
-    rows = scan(spark, d, "log_lines").select(classify.protocol(F.col("message")).alias("p")).where("p <> 'OTHER'")
+    rows = spread(scan(spark, d, "log_lines").select("message")).select(classify.protocol(F.col("message")).alias("p")).where("p <> 'OTHER'")
     return rows.agg(F.count_if(F.col("p") == "UL").alias("named"), F.count("*").alias("messages"))
 
 
-@query()
+@query(f"WITH {_PAIRS} SELECT row_id, string_agg(key || '=' || value, chr(1) ORDER BY pos) AS written, true AS same FROM pairs GROUP BY row_id")
 def message_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    rows = _parsed(spark, d, "protocol = 'FIX'").withColumn("message", tags.to_text(F.col("pairs"), "|"))
-    again = tags.parse(rows.select("row_id", "message", F.col("pairs").alias("first")))
-    return again.select("row_id", (F.col("pairs") == F.col("first")).alias("same"))
+    rows = _parsed(spark, d).where(F.size("pairs") > 0).withColumn("written", tags.to_text(F.col("pairs")))
+    again = tags.parse(rows.select("row_id", "written", "protocol", F.col("pairs").alias("first")), "written", named=F.col("protocol") == "UL")
+    return again.select("row_id", "written", (F.col("pairs") == F.col("first")).alias("same"))
 
 
 # typed reading
@@ -181,7 +244,7 @@ def message_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_id, epoch_us(ts) * 1000 AS at, epoch_us(date_trunc('day', ts)) * 1000 AS day FROM events")
 def stamp_nanos(spark: SparkSession, d: str) -> DataFrame:
-    rows = scan(spark, d, "events").select("event_id", F.date_format("ts", "yyyyMMdd-HH:mm:ss.SSSSSS").alias("t"), F.date_format("ts", "yyyyMMdd").alias("day"))
+    rows = spread(scan(spark, d, "events").select("event_id", "ts")).select("event_id", F.date_format("ts", "yyyyMMdd-HH:mm:ss.SSSSSS").alias("t"), F.date_format("ts", "yyyyMMdd").alias("day"))
     return rows.select("event_id", V.nanos(F.col("t")).alias("at"), V.nanos(F.col("day")).alias("day"))
 
 
@@ -327,9 +390,10 @@ def semi_join_keys(spark: SparkSession, d: str) -> DataFrame:
     return joins.semi_join(scan(spark, d, "customer"), big, ["c_custkey"])
 
 
-@query("SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
 def anti_join_keys(spark: SparkSession, d: str) -> DataFrame:
-    return joins.anti_join(scan(spark, d, "customer"), scan(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    big = scan(spark, d, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    return joins.anti_join(scan(spark, d, "customer"), big, ["c_custkey"])
 
 
 @query("""WITH o AS (SELECT symbol, unix, max(row_id) AS order_row FROM market_order GROUP BY ALL), e AS (SELECT DISTINCT symbol, unix, hash FROM execution_report)
@@ -408,12 +472,47 @@ def compaction(spark: SparkSession, d: str) -> DataFrame:
     return t.read()
 
 
+_DAYS = Shape("Line", T.StructType([
+    T.StructField("l_orderkey", T.LongType(), False, {PRIMARY: True, SORT: 0}), T.StructField("l_linenumber", T.IntegerType(), False, {PRIMARY: True}), T.StructField("l_returnflag", T.StringType(), False, {PARTITION: "identity"}),
+    T.StructField("l_extendedprice", T.DoubleType()),
+]))
+
+
+def _lines(spark: SparkSession, d: str) -> Table:
+    """A table in parts by flag, appended in four pieces."""
+    t = Table(spark, f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}", _DAYS).create()
+    lines = scan(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    quarter = lines.agg(F.max("l_orderkey")).first()[0] // 4 + 1
+    for i in range(4):
+        t.append(lines.where(F.col("l_orderkey").between(i * quarter, (i + 1) * quarter - 1)))
+    return t
+
+
+@query("SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice, true AS skipped FROM lineitem WHERE l_returnflag = 'R' AND (l_orderkey < 100 OR l_orderkey IN (5000, 5001))")
+def pruned_read(spark: SparkSession, d: str) -> DataFrame:
+    """A condition in SQL leaves out the files of other flags and of other stretches of orders."""
+    where = "l_returnflag = 'R' AND (l_orderkey < 100 OR l_orderkey IN (5000, 5001))"
+    t = _lines(spark, d)
+    plan = t.scan_plan(where=where)
+    return t.read(where=where).withColumn("skipped", F.lit(plan.files * 6 <= plan.total_files))
+
+
+@query("SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice), 2) AS price, true AS apart, 0 AS again FROM lineitem GROUP BY l_returnflag")
+def compaction_by_part(spark: SparkSession, d: str) -> DataFrame:
+    """Small files of a part are put together, parts stay apart, and what is settled is not rewritten."""
+    t = _lines(spark, d)
+    t.compact()
+    apart = all(f["bounds"]["l_returnflag"][0] == f["bounds"]["l_returnflag"][1] for f in t.snapshot().files)
+    rows = t.read().groupBy("l_returnflag").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
+    return rows.select("*", F.lit(apart).alias("apart"), F.lit(t.compact()).alias("again"))
+
+
 # identifiers, log files, dictionaries, streams
 
 
 @query("SELECT count(*) AS n, count(DISTINCT symbol || '/' || unix || '/' || xhash) AS ids FROM market_order")
 def identifiers(spark: SparkSession, d: str) -> DataFrame:
-    ids = scan(spark, d, "market_order").select(ident.ident("Order", F.col("symbol"), F.col("unix"), F.col("xhash"), kinds=("string", "string", "long", "long")).alias("id"))
+    ids = spread(scan(spark, d, "market_order").select("symbol", "unix", "xhash")).select(ident.ident("Order", F.col("symbol"), F.col("unix"), F.col("xhash"), kinds=("string", "string", "long", "long")).alias("id"))
     return ids.agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"))
 
 

@@ -1,8 +1,9 @@
-"""Session helpers: the shared folder, lineage cuts and size-checked broadcasts."""
+"""Session helpers: the shared folder, lineage cuts, and rows spread over cores."""
 
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -10,11 +11,6 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Rows a side may have before it is no longer broadcast.
-BROADCAST_ROWS = 200_000
-
 
 def session(name: str = "tidelog", master: str = "local[*]", **conf: str) -> SparkSession:
     """A session with the settings this library is tuned for; ``conf`` overrides."""
@@ -31,10 +27,13 @@ def session(name: str = "tidelog", master: str = "local[*]", **conf: str) -> Spa
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach (``spark.checkpoint.dir``); only where that is unset, a local one for tests."""
+    """The folder every executor can reach (``spark.checkpoint.dir``); where that is unset a local one, if master is local, and else an error."""
     said = spark.conf.get("spark.checkpoint.dir", None)
     if said:
         return said.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|\Z)", master):
+        raise RuntimeError(f"on {master} executors share no local folder: set spark.checkpoint.dir")
     if not hasattr(spark, "_tidelog_dir"):
         spark._tidelog_dir = tempfile.mkdtemp(prefix="tidelog-")
         atexit.register(shutil.rmtree, spark._tidelog_dir, ignore_errors=True)
@@ -48,10 +47,11 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows (counted here), else as it is, to be joined by shuffle."""
-    n = df.limit(rows + 1).count()
-    return F.broadcast(df) if n <= rows else df
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if its input has fewer splits than there are: for rows that cost far more to work on than to move. A
+    table of more splits stays where it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
 def shipped(spark: SparkSession) -> SparkSession:
