@@ -150,6 +150,29 @@ def test_log_files(spark, tmp_path):
         logs.read_logs(spark, str(tmp_path), static={"unix": 1})
 
 
+def test_own_header_and_dirty_bytes(spark, tmp_path):
+    (tmp_path / "own.log").write_bytes(b"before\nW|2026-01-05 06:00:00.123|gate|first \xff\xfe line\n  more\nE|2026-01-05 06:00:01.000||second\n")
+    mine = logs.header_of(r"(?s)^[A-Z]\|([^|]*)\|([^|]*)\|(.*)\z", stamp=1, driver=2, message=3)
+    rows = logs.read_logs(spark, str(tmp_path), header=mine).orderBy("pos").collect()
+    assert [(r.unix, r.thread_name, r.driver_name, r.message) for r in rows] == [(1767592800123000000, "", "gate", "first \ufffd\ufffd line\n  more"), (1767592801000000000, "", "", "second")]
+    for wrong in ({"stamp": 1}, {"stamp": 1, "message": 4}, {"stamp": 1, "message": 2, "other": 3}):
+        with pytest.raises(ValueError):
+            logs.header_of(r"(a)(b)(c)", **wrong)
+
+
+def test_rendered_groups(spark):
+    text = "to #A=1|#NoLegs[2].LegSymbol=z|#NoLegs[0]=LegSymbol=x\x01LegSide=2|#B=2"
+    df = tags.parse(spark.createDataFrame([(text,), (None,)], "message string"), named=True)
+    got = df.select(tags.indexed_group(F.col("pairs"), "NoLegs").alias("g")).collect()
+    assert [[(p.key, p.value) for p in e] for e in got[0].g] == [[("LegSymbol", "x"), ("LegSide", "2")], [("LegSymbol", "z")]] and not got[1].g
+
+
+@pytest.mark.parametrize("text", ["20260105-06:00:00.004", "20260105", "06:00", "06:00:00.5", "20260105 06:00:60Z", " 20260105T23:59 Z ", "20260230", "20260105-24:00:00", "20260105-06:60:00", "20260105x06:00:00", "2026010", "x", "", None, "20260105-06:00:00.", "20260105-06:00:00.1234567891", "\u0661:00"])
+def test_one_stamp_as_a_column(spark, text):
+    for day in (None, 1767592800004000000):
+        assert one(spark, text, "string", lambda c: V.nanos(c, None if day is None else F.lit(day))) == V.nanos_of(text, day)
+
+
 def test_jobs(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()

@@ -291,6 +291,28 @@ def notional(spark: SparkSession, d: str) -> DataFrame:
     return scan(spark, d, "market_order").select("row_id", F.round(worth, 4).alias("notional"))
 
 
+@query("""SELECT row_id, round(CASE WHEN px IS NULL OR qty IS NULL THEN avg_px WHEN avg_px IS NULL OR coalesce(filled_qty = 0, true) THEN px ELSE (avg_px * filled_qty + px * qty) / nullif(filled_qty + qty, 0) END, 6) AS avg_px,
+  round(CASE WHEN state >= 400 THEN 0.0 ELSE greatest(qty - coalesce(filled_qty, 0.0), 0.0) END, 6) AS leaves, CAST(CASE WHEN leaves_qty <= 0 THEN 210 WHEN filled_qty > 0 THEN 120 ELSE 110 END AS INTEGER) AS action FROM market_order""")
+def order_figures(spark: SparkSession, d: str) -> DataFrame:
+    """Average price after one more fill, what is left, and what a level does."""
+    m = {c: F.col(c) for c in ("avg_px", "filled_qty", "px", "qty", "state", "leaves_qty")}
+    avg = V.weighted(m["avg_px"], m["filled_qty"], m["px"], m["qty"])
+    left = V.leaves(m["state"], m["qty"], m["filled_qty"])
+    return scan(spark, d, "market_order").select("row_id", F.round(avg, 6).alias("avg_px"), F.round(left, 6).alias("leaves"), codes.update_action(m["filled_qty"], m["leaves_qty"]).alias("action"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN epoch_us(ts) * 1000 ELSE epoch_us(date_trunc('day', ts)) * 1000 + 86399999999999 END AS expires FROM events")
+def expiries(spark: SparkSession, d: str) -> DataFrame:
+    rows = spread(scan(spark, d, "events").select("event_id", "ts"))
+    time = F.when(F.pmod("event_id", F.lit(2)) == 0, F.date_format("ts", "yyyyMMdd-HH:mm:ss.SSSSSS"))
+    return rows.select("event_id", V.expires(time, F.date_format("ts", "yyyyMMdd")).alias("expires"))
+
+
+@query("SELECT begin_string, CASE WHEN begin_string LIKE 'FIXT.%' THEN 'FIXT' || substr(begin_string, 6) WHEN regexp_full_match(begin_string, 'FIX[.]?[0-9].*') THEN regexp_extract(begin_string, 'FIX[.]?(.*)', 1) ELSE 'unknown' END AS version, count(*) AS n FROM log_lines GROUP BY ALL")
+def begin_versions(spark: SparkSession, d: str) -> DataFrame:
+    return scan(spark, d, "log_lines").groupBy("begin_string").agg(F.count("*").alias("n")).select("begin_string", tags.version(F.col("begin_string"), "unknown").alias("version"), "n")
+
+
 # lifecycles and books
 
 

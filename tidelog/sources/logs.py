@@ -15,7 +15,6 @@ from tidelog.functions.ident import digest
 
 # fixed value: what a line that begins a record looks like: stamp, thread, driver, level, message
 HEADER = r"(?s)^[ \t]*(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}[.,]\d{3}(?:[._,]?\d{3})?)[ \t]+\[([^\]]*)\][ \t]+\[([^\]]*)\][ \t]*(?:\(([A-Za-z]{1,12})\)[ \t]*)?(.*)\z"
-CODECS = {".gz": "gzip", ".bz2": "bzip2", ".zst": "zstd", ".zstd": "zstd"}
 
 
 def natural(path: str) -> tuple:
@@ -59,9 +58,9 @@ def walk(roots: list[str], pattern: str = "*", recursive: bool = True, reverse:
 
 def lines(spark: SparkSession, files: list[str]) -> DataFrame:
     """``url, block, pos, raw`` of every physical line: cut at newlines, one carriage return at the end dropped. ``(block, pos)`` orders
-    the lines of a file; a block is what one task read, so a large plain file has many."""
+    the lines of a file; a block is what one task read, so a large plain file has many. Bytes that are no UTF-8 become U+FFFD."""
     df = spark.read.option("lineSep", "\n").text(files)
-    return df.select(F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.regexp_replace("value", r"\r\z", "").alias("raw"))
+    return df.select(F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.regexp_replace(F.make_valid_utf8("value"), r"\r\z", "").alias("raw"))
 
 
 def folded(rows: DataFrame, head: Column) -> DataFrame:
@@ -86,14 +85,25 @@ def header_nanos(stamp: Column, zone: str | None = None) -> Column:
     return V.local_to_nanos(second, zone) + micros * 1000
 
 
-def parsed(rows: DataFrame, zone: str | None = None, fold: bool = True, message_layer: bool = True) -> DataFrame:
-    """Physical lines (see :func:`lines`) as log rows: envelope, line columns, ``fix_tags``, ``keyval`` and the lifted columns."""
-    head = F.col("raw").rlike(HEADER)
+def header_of(pattern: str, **groups: int) -> tuple[str, dict[str, int]]:
+    """A header of one's own: a pattern that tells a first line, and which of its groups are the ``stamp``, ``thread``, ``driver`` and ``message`` (those
+    that are not named are empty; stamp and message have to be)."""
+    count, known = re.compile(pattern.replace(r"\z", r"\Z")).groups, ("stamp", "thread", "driver", "message")
+    if {"stamp", "message"} - set(groups) or set(groups) - set(known) or not all(1 <= g <= count for g in groups.values()):
+        raise ValueError(f"a header names groups from 1 to {count} as stamp and message, perhaps as thread and driver, not {groups}")
+    return pattern, groups
+
+
+def parsed(rows: DataFrame, zone: str | None = None, fold: bool = True, message_layer: bool = True, header: tuple[str, dict[str, int]] | None = None) -> DataFrame:
+    """Physical lines (see :func:`lines`) as log rows: envelope, line columns, ``fix_tags``, ``keyval`` and the lifted columns. ``header``: see
+    :func:`header_of`; a stamp is read as one of the usual header."""
+    pattern, groups = header or (HEADER, {"stamp": 1, "thread": 2, "driver": 3, "message": 5})
+    head = F.col("raw").rlike(pattern)
     found = folded(rows, head) if fold else rows.where(head).withColumn("tail", F.lit(None).cast("string"))
-    part = lambda i: F.regexp_extract("raw", HEADER, i)
-    unix = header_nanos(part(1), zone)
+    part = lambda name: F.regexp_extract("raw", pattern, groups[name]) if name in groups else F.lit("")
+    unix = header_nanos(part("stamp"), zone)
     df = found.select(
-        "url", "block", "pos", unix.alias("unix"), part(2).alias("thread_name"), part(3).alias("driver_name"), F.concat_ws("\n", part(5), "tail").alias("message"), digest(F.col("raw")).alias("hash")
+        "url", "block", "pos", unix.alias("unix"), part("thread").alias("thread_name"), part("driver").alias("driver_name"), F.concat_ws("\n", part("message"), "tail").alias("message"), digest(F.col("raw")).alias("hash")
     )
     df = df.withColumns({"unix_hour": V.hour_of(F.col("unix")), "etype": classify.event_type(F.col("message")), "protocol": classify.protocol(F.col("message"), F.col("driver_name"))})
     if message_layer:
@@ -109,12 +119,12 @@ def parsed(rows: DataFrame, zone: str | None = None, fold: bool = True, message_
     )
 
 
-def read_logs(spark: SparkSession, roots: list[str] | str, zone: str | None = None, pattern: str = "*", recursive: bool = True, fold: bool = True, message_layer: bool = True, static: dict | None = None) -> DataFrame:
+def read_logs(spark: SparkSession, roots: list[str] | str, zone: str | None = None, pattern: str = "*", recursive: bool = True, fold: bool = True, message_layer: bool = True, static: dict | None = None, header: tuple[str, dict[str, int]] | None = None) -> DataFrame:
     """The log rows of all files under ``roots``. ``static`` adds constant columns; a name that is taken is refused, as is a bare None."""
     files = walk([roots] if isinstance(roots, str) else list(roots), pattern, recursive)
     if not files:
         raise FileNotFoundError(f"no file under {roots} is called {pattern}")
-    df = parsed(lines(spark, files), zone, fold, message_layer)
+    df = parsed(lines(spark, files), zone, fold, message_layer, header)
     for name, value in (static or {}).items():
         if name in df.columns:
             raise ValueError(f"{name} is a column already")
