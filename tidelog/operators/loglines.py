@@ -27,26 +27,29 @@ LEVELS = {
     "FATAL": ("FATAL", "FTL", "CRITICAL", "CRIT", "CRT", "ALERT", "EMERGENCY", "EMERG", "PANIC", "2", "1", "0"),
 }
 
+_DIGITS = "0123456789"
 _WORDS = "|".join(w for words in LEVELS.values() for w in words if not w.isdigit())
 
 
 @dataclass(frozen=True)
 class Layout:
-    """``start`` tells a first line and has its fields as groups, named here by position (Java has no underscores in names)."""
+    """``start`` tells a first line and has its fields as groups, named here by position (Java has no underscores in names); such a line begins with one
+    of ``lead``, after a blank at most."""
 
     name: str
+    lead: str
     start: str
     groups: tuple[str, ...]
 
 
 #: In the order in which they are tried.
 LAYOUTS = (
-    Layout("bracket", r"(?s)^[ \t]?(\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d[.,]\d{3}(?:[._,]?\d{3})?) \[([^\]]*)\] \[([^\]]*)\](?: \((?i:(" + _WORDS + r"))\))?(?: (.*))?\z", ("stamp", "thread", "driver", "level", "message")),
-    Layout("angle", r"(?s)^(\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d(?:[.,]\d{1,9})?(?:Z|[+-]\d\d:?\d\d)?) +([A-Za-z]+) +(\S+) +<([^>]*)> -(?: (.*))?\z", ("stamp", "level", "driver", "thread", "message")),
-    Layout("syslog", r"(?s)^<(\d{1,3})>\d{1,2} (\S+) \S+ (\S+) (\S+) \S+ (?:-|\[.*?\])(?: (.*))?\z", ("priority", "stamp", "driver", "thread", "message")),
-    Layout("json", r"(?s)^[ \t]?(\{\s*\".*\})\s*\z", ("body",)),
-    Layout("julian", r"(?s)^([A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d\d:\d\d [AP]M) (\S+)(?: \S+)?\s*\z", ("stamp", "driver")),
-    Layout("pairs", r"(?s)^time=(\"[^\"]*\"|\S+)((?: .*)?)\z", ("stamp", "rest")),
+    Layout("bracket", _DIGITS, r"(?s)^[ \t]?(\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d[.,]\d{3}(?:[._,]?\d{3})?) \[([^\]]*)\] \[([^\]]*)\](?: \((?i:(" + _WORDS + r"))\))?(?: (.*))?\z", ("stamp", "thread", "driver", "level", "message")),
+    Layout("angle", _DIGITS, r"(?s)^(\d{4}-\d\d-\d\d[ T]\d\d:\d\d:\d\d(?:[.,]\d{1,9})?(?:Z|[+-]\d\d:?\d\d)?) +([A-Za-z]+) +(\S+) +<([^>]*)> -(?: (.*))?\z", ("stamp", "level", "driver", "thread", "message")),
+    Layout("syslog", "<", r"(?s)^<(\d{1,3})>\d{1,2} (\S+) \S+ (\S+) (\S+) \S+ (?:-|\[.*?\])(?: (.*))?\z", ("priority", "stamp", "driver", "thread", "message")),
+    Layout("json", "{", r"(?s)^[ \t]?(\{\s*\".*\})\s*\z", ("body",)),
+    Layout("julian", "ADFJMNOS", r"(?s)^([A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d\d:\d\d [AP]M) (\S+)(?: \S+)?\s*\z", ("stamp", "driver")),
+    Layout("pairs", "t", r"(?s)^time=(\"[^\"]*\"|\S+)((?: .*)?)\z", ("stamp", "rest")),
 )
 
 
@@ -64,18 +67,27 @@ def stripped(text: Column) -> Column:
 
 
 def instant_nanos(stamp: Column) -> Column:
-    """An ISO-like stamp (date, blank or T, time, fraction in one or two groups, zone or none: UTC) as nanoseconds, null if it is none."""
-    whole = r"^(\d{4}-\d\d-\d\d)[ T](\d\d:\d\d:\d\d)(?:[.,](\d{1,9})(?:[._,](\d{3}))?)?(Z|z|[+-]\d\d:?\d\d)?$"
-    part = lambda i: F.regexp_extract(stamp, whole, i)
-    seconds = F.unix_seconds(F.try_to_timestamp(F.concat(part(1), F.lit(" "), part(2), F.lit("+00:00")), F.lit("yyyy-MM-dd HH:mm:ssXXX")))
-    fraction = F.rpad(F.concat(part(3), part(4)), 9, "0").cast("long")
-    zone = F.regexp_replace(part(5), ":", "")
-    off = F.when(F.length(zone) == 5, (F.substring(zone, 2, 2).cast("int") * 3600 + F.substring(zone, 4, 2).cast("int") * 60) * F.when(F.substring(zone, 1, 1) == "-", -1).otherwise(1)).otherwise(0)
+    """An ISO-like stamp (date, blank or T, time, fraction in one or two groups, zone or none: UTC) as nanoseconds, null if it is none. Its parts
+    are read by their place."""
+    shape = F.translate(stamp, "123456789", "000000000")
+    dated = F.startswith(shape, F.lit("0000-00-00")) & F.substring(stamp, 11, 1).isin(" ", "T") & (F.substring(shape, 12, 8) == "00:00:00")
+    rest = F.substring(stamp, 20, 64)
+    at = F.greatest(F.instr(rest, "+"), F.instr(rest, "-"))
+    zulu = F.substring(rest, -1, 1).isin("Z", "z")
+    fraction = F.when(zulu, F.substring(rest, F.lit(1), F.length(rest) - 1)).when(at > 0, F.substring(rest, F.lit(1), at - 1)).otherwise(rest)
+    zone = F.when(zulu | (at == 0), "").otherwise(F.translate(F.substring(rest, at, F.length(rest)), ":", ""))
+    zoned = (zone == "") | (F.translate(zone, "+123456789", "-000000000") == "-0000") & F.substring(shape, -3, 1).isin(":", "0")
+    number = lambda text, i, n: F.substring(text, i, n).try_cast("int")
+    hour, minute, second = (number(stamp, i, 2) for i in (12, 15, 18))
+    right = dated & zoned & (hour <= 23) & (minute <= 59) & (second <= 59) & fraction.rlike(r"^(?:[.,]\d{1,9}(?:[._,]\d{3})?)?\z")
+    seconds = F.unix_date(F.substring(stamp, 1, 10).try_cast("date")).cast("long") * 86_400 + hour * 3600 + minute * 60 + second
+    nanos = F.rpad(F.translate(fraction, ".,_", ""), 9, "0").try_cast("long")
+    off = F.when(zone == "", 0).otherwise((number(zone, 2, 2) * 3600 + number(zone, 4, 2) * 60) * F.when(F.startswith(zone, F.lit("-")), -1).otherwise(1))
     # a bare number counts seconds, or as many thousandths, millionths or billionths as its length tells
-    digits, more = (F.regexp_extract(stamp, r"^(\d{9,19})(?:\.(\d{1,9}))?$", i) for i in (1, 2))
+    digits, more = F.split_part(stamp, F.lit("."), F.lit(1)), F.split_part(stamp, F.lit("."), F.lit(2))
     scale = F.when(F.length(digits) <= 11, 9).when(F.length(digits) <= 14, 6).when(F.length(digits) <= 17, 3).otherwise(0)
     epoch = F.concat(digits, F.substring(F.rpad(more, 9, "0"), F.lit(1), scale)).try_cast("long")
-    return F.when(part(1) != "", (seconds - off) * 1_000_000_000 + fraction).when(digits != "", epoch)
+    return F.when(dated, F.when(right, (seconds - off) * 1_000_000_000 + nanos)).when(stamp.rlike(r"^\d{9,19}(?:\.\d{1,9})?\z"), epoch)
 
 
 def _first(text: Column, pattern: str, group: int = 1) -> Column:
@@ -90,8 +102,9 @@ def entries_of(lines: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r+\z", "")
     layout = F.lit(None).cast("string")
+    lead = F.when(F.substring("t", 1, 1).isin(" ", "\t"), F.substring("t", 2, 1)).otherwise(F.substring("t", 1, 1))
     for known in reversed(LAYOUTS):
-        hit = F.col("t").rlike(known.start)
+        hit = lead.isin(*known.lead) & F.col("t").rlike(known.start)
         if known.name == "json":
             hit = hit & F.get_json_object("t", "$.ts").isNotNull()
         layout = F.when(hit, known.name).otherwise(layout)
