@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 FOLDER = "/opt/tokenizers"
 #: The pre-tokens of this family of vocabularies: contractions, letters, digits and other signs with a blank before, blanks. A fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pre-tokens that a task remembers, and up to which length.
-REMEMBERED, SHORT = 400_000, 64
+#: Pre-tokens that a worker remembers, up to which length, and pairs of symbols: some ten MB each, whatever the corpus.
+REMEMBERED, SHORT, PAIRS = 100_000, 64, 300_000
 
 
 def ranks(name: str = "byte_bpe_50k", folder: str = FOLDER) -> dict[bytes, int]:
@@ -91,7 +91,7 @@ class Encoder:
         got = self.pair.get(key)
         if got is None:
             got = self.rank.get(self.bytes_of[a] + self.bytes_of[b], -1)
-            if len(self.pair) < 4_000_000:
+            if len(self.pair) < PAIRS:
                 self.pair[key] = got
         return got
 
