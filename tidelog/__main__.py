@@ -22,9 +22,13 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     if args.command == "run":
         from tidelog.plans.jobs import Job
-        from tidelog.runtime import session
+        from tidelog.runtime import session, swept
 
-        print(Job.read(args.job).run(session()))
+        spark = session()
+        try:
+            print(Job.read(args.job).run(spark))
+        finally:
+            swept(spark)
         return 0
     from tidelog.shapes import Shape, shape_of
 

@@ -12,6 +12,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that this process has settled.
+_SETTLED: list[str] = []
+
+
 def session(name: str = "tidelog", master: str = "local[*]", **conf: str) -> SparkSession:
     """A session with the settings this library is tuned for; ``conf`` overrides."""
     settings = {
@@ -43,10 +47,20 @@ def shared_dir(spark: SparkSession) -> str:
 def settled(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors, and is stored compressed."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    _SETTLED.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def swept(spark: SparkSession) -> int:
+    """Delete what :func:`settled` has written in this process; frames that read it must not be used any more. Returns how many folders."""
+    gone = 0
+    while _SETTLED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores, if its input has fewer splits than there are: for rows that cost far more to work on than to move. A
     table of more splits stays where it lies."""
