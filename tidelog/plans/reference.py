@@ -549,7 +549,13 @@ def log_files(spark: SparkSession, d: str) -> DataFrame:
     return logs.parsed(lines, message_layer=False).select("unix", "thread_name", "driver_name", "message")
 
 
-@query()
+_KNOWN = ", ".join(f"({tag}, '{name}', {'NULL' if about is None else chr(39) + about.replace(chr(39), chr(39) * 2) + chr(39)})" for _, tag, name, _, about, *_ in dictionary.builtin())
+
+
+@query(f"""WITH d AS (SELECT * FROM (VALUES {_KNOWN}) AS v(tag, name, about)), q AS (SELECT * FROM (VALUES ('ordrqty'), ('px')) AS v(low)),
+r AS (SELECT low, CAST(CASE WHEN CAST(tag AS VARCHAR) = low OR lower(name) = low THEN 0 WHEN starts_with(lower(name), low) THEN 1 WHEN contains(lower(name), low) THEN 2 WHEN contains(lower(coalesce(about, '')), low) THEN 3
+  WHEN levenshtein(lower(name), low) <= 2 THEN 4 + levenshtein(lower(name), low) END AS INTEGER) AS rank, tag, name FROM d, q)
+SELECT rank, tag, name FROM r WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY low ORDER BY rank, tag) <= 20""")
 def dictionary_search(spark: SparkSession, d: str) -> DataFrame:
     known = dictionary.dictionary(spark)
     return dictionary.search(known, "OrdrQty").select("rank", "tag", "name").unionByName(dictionary.search(known, "px").select("rank", "tag", "name"))
